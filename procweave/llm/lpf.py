@@ -48,6 +48,28 @@ def removed_spans(docs: DataFrame, *, size: int = 50, k: int = 25, id_col: str =
     return repeats.find(docs, repeats.Spec("byte", size, k, content_bytes=6), _digest(size), _SCHEMA, id_col=id_col, text_col=text_col)
 
 
+def _cleaned(size: int):
+    def finish(part: repeats.Part, windows: np.ndarray) -> pa.RecordBatch:
+        gone = covered(len(part.data), windows, size)
+        texts = []
+        for a, b in zip(part.starts[:-1].tolist(), part.starts[1:].tolist(), strict=True):
+            raw, cut = part.data[a:b], gone[a:b]
+            if cut.any():
+                # a character goes only if all its bytes do
+                char = np.cumsum(raw & 0xC0 != 0x80) - 1
+                whole = np.bincount(char, weights=~cut) == 0
+                raw = raw[~whole[char]]
+            texts.append(raw.tobytes().decode("utf-8", "replace"))
+        return pa.RecordBatch.from_pydict({"doc_id": pa.array(part.ids, pa.int64(), mask=part.ids == repeats.NO_ID), "text": pa.array(texts, pa.string())})
+
+    return finish
+
+
+def without_repeats(docs: DataFrame, *, size: int = 50, k: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and text of every row, without the characters that lie wholly in removed spans (see ``removed_spans``)."""
+    return repeats.find(docs, repeats.Spec("byte", size, k, content_bytes=6), _cleaned(size), "doc_id long, text string", id_col=id_col, text_col=text_col)
+
+
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return removed_spans(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
