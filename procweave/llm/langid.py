@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import storage
+
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 #: Words remembered by a worker beside the model's own.
@@ -64,18 +66,30 @@ def fit(labelled: DataFrame, *, rows: int = 20_000, max_words: int = 60_000, max
             yield pa.RecordBatch.from_pydict(dict(zip(("kind", "lang", "key", "n"), map(list, zip(*both, strict=True)), strict=True)) if both else {"kind": [], "lang": [], "key": [], "n": []}, schema=pa.schema([("kind", pa.int32()), ("lang", pa.string()), ("key", pa.string()), ("n", pa.int64())]))
 
     counts = usable.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "kind int, lang string, key string, n long")
-    table = counts.groupBy("kind", "key").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-    most = {0: max_words, 1: max_grams}
-    found = {k: table.where((F.col("kind") == k) & (F.col("total") > 1)).orderBy(F.desc("total"), "key").limit(m).collect() for k, m in most.items()}
-    languages = tuple(sorted({x["lang"] for rows_ in found.values() for r in rows_ for x in r["by"]}))
-    scores = {}
-    for k, rows_ in found.items():
-        n = np.full((len(rows_), len(languages)), 0.1)
-        for i, r in enumerate(rows_):
-            for x in r["by"]:
-                n[i, languages.index(x["lang"])] += x["n"]
-        scores[k] = np.log(n / n.sum(axis=0, keepdims=True)) if len(rows_) else n
-    return Model(languages, {r["key"]: i for i, r in enumerate(found[0])}, {r["key"]: i for i, r in enumerate(found[1])}, scores[0], scores[1], longest)
+    table, path = storage.written(counts.groupBy("kind", "key", "lang").agg(F.sum("n").alias("n")).groupBy("kind", "key").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by")).where("total > 1"), "ngrams")
+    sizes = table.groupBy("kind", "total").count().toArrow().to_pylist()  # a row for each number of occurrences
+    keys, scores, found, languages = {}, {}, {}, set()
+    for kind, most in ((0, max_words), (1, max_grams)):
+        # the least number of occurrences that no more than ``most`` keys reach
+        least, held = 2, 0
+        for row in sorted((r for r in sizes if r["kind"] == kind), key=lambda r: -r["total"]):
+            held += row["count"]
+            if held > most:
+                least = row["total"] + 1
+                break
+        found[kind] = table.where((F.col("kind") == kind) & (F.col("total") >= least)).select("key", F.explode("by").alias("b")).select("key", "b.*").toArrow()
+        languages |= set(found[kind]["lang"].unique().to_pylist())
+    storage.remove(labelled.sparkSession, path)
+    languages = tuple(sorted(languages))
+    place = {x: i for i, x in enumerate(languages)}
+    for kind, rows_ in found.items():
+        coded = rows_["key"].combine_chunks().dictionary_encode() if len(rows_) else None
+        keys[kind] = {x: i for i, x in enumerate(coded.dictionary.to_pylist())} if coded is not None else {}
+        n = np.full((len(keys[kind]), len(languages)), 0.1)
+        if coded is not None:
+            np.add.at(n, (coded.indices.to_numpy(), np.array([place[x] for x in rows_["lang"].to_pylist()])), rows_["n"].to_numpy())
+        scores[kind] = np.log(n / n.sum(axis=0, keepdims=True)) if len(n) else n
+    return Model(languages, keys[0], keys[1], scores[0], scores[1], longest)
 
 
 class Scorer:
