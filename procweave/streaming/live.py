@@ -94,6 +94,18 @@ def latest(rows: DataFrame, key: Sequence[str], now: int, most_age: int = FRESH_
     return rows.groupBy(*key).agg(F.max("recTime").alias("recTime"), F.count("*").alias("n")).where(F.col("recTime") >= now - most_age)
 
 
+def ingest(stream: DataFrame, path: str, checkpoint: str):
+    """Write a stream of records to Parquet by date and hour of their time; returns the query, which ends when the input does."""
+    at = F.timestamp_seconds("recTime")
+    rows = stream.withColumns({"date": F.date_format(at, "yyyyMMdd"), "hour": F.hour(at)})
+    return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date", "hour").trigger(availableNow=True).start()
+
+
+def fresh(rows: DataFrame, most_age: str = "60 seconds") -> DataFrame:
+    """Only the last records of each key within ``most_age`` of the watermark: older state is given up."""
+    return rows.withWatermark("ts", most_age).dropDuplicatesWithinWatermark(["host", "pid", "startTime"])
+
+
 def by_topic(rows: DataFrame, host: str = "*", identifier: str = "*", subidentifier: str = "*") -> DataFrame:
     for column, wanted in (("host", host), ("identifier", identifier), ("subidentifier", subidentifier)):
         if wanted != "*":

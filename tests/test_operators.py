@@ -150,3 +150,13 @@ def test_streamed_join_and_counts(spark, tmp_path):
     joined.writeStream.format("memory").queryName("j").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "j")).start().awaitTermination()
     assert spark.table("j").count() == 5
     assert live.feed_counts(rows).first()["n"] == 5
+
+
+def test_stream_to_hourly_tables(spark, tmp_path):
+    rows = spark.sql("SELECT 'h' AS host, id AS pid, 0L AS startTime, 86400 + id * 1800 AS recTime, timestamp_seconds(86400 + id * 1800) AS ts FROM range(4)")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    live.ingest(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    assert {(r.pid, r.hour) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(0, 0), (1, 0), (2, 1), (3, 1)}
+    live.fresh(stream).writeStream.format("memory").queryName("f").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "f")).start().awaitTermination()
+    assert spark.table("f").count() == 4
