@@ -588,13 +588,13 @@ def srt3_live_ranking(spark, d):
     return fx.procstat(spark, d).groupBy("host", "pid").agg(F.max("m_resident").alias("rss"), F.max("numThreads").alias("threads")).orderBy(F.desc("rss"), "pid").limit(20)
 
 
-@query("SELECT project, command, CAST(total AS BIGINT) AS total, place FROM (SELECT project, command, total, row_number() OVER (PARTITION BY project ORDER BY total DESC, command) AS place FROM (SELECT project, command, sum(duration) AS total FROM summary GROUP BY ALL)) WHERE place <= 5")
+@query("SELECT project, command, CAST(total AS BIGINT) AS total, place FROM (SELECT project, command, total, CAST(row_number() OVER (PARTITION BY project ORDER BY total DESC, command) AS INT) AS place FROM (SELECT project, command, sum(duration) AS total FROM summary GROUP BY ALL)) WHERE place <= 5")
 def srt4_top_categories(spark, d):
     sums = fx.summary(spark, d).groupBy("project", "command").agg(F.sum("duration").alias("total"))
     return report.top_per_key(sums, "project", "total", 5, "command")
 
 
-@query(f"SELECT {_KEYS}, row_number() OVER (PARTITION BY identifier ORDER BY startTime, pid, host) AS place FROM {_PROCESSES} p")
+@query(f"SELECT {_KEYS}, CAST(row_number() OVER (PARTITION BY identifier ORDER BY startTime, pid, host) AS INT) AS place FROM {_PROCESSES} p")
 def srt5_job_listing(spark, d):
     from pyspark.sql import Window
 

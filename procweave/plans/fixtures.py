@@ -60,10 +60,10 @@ def procdata(spark: SparkSession, d: str) -> DataFrame:
 
 
 def procfd(spark: SparkSession, d: str) -> DataFrame:
-    users = table(spark, d, "events").agg(F.count_distinct("user_id").alias("n_users"))
-    rows = table(spark, d, "lineitem").crossJoin(F.broadcast(users))  # one row
+    n_users = table(spark, d, "events").agg(F.count_distinct("user_id").alias("n")).first()["n"]
+    rows = table(spark, d, "lineitem")
     part, supp, line = F.col("l_partkey").cast("string"), F.col("l_suppkey"), F.col("l_linenumber")
-    pid = 1 + F.col("l_partkey") % F.col("n_users")
+    pid = 1 + F.col("l_partkey") % n_users
     paths = (F.concat(F.lit("/global/projectb/a/"), part), F.concat(F.lit("/chos/global/project/p/"), part), F.concat(F.lit("/scratch/t/"), part), F.concat(F.lit("tcp:10.0.0.1:"), (1024 + F.col("l_partkey") % 50).cast("string"), F.lit(":10.1.0."), (supp % 200).cast("string"), F.lit(":443")), F.concat(F.lit("udp:10.0.0.1:"), (2000 + F.col("l_partkey") % 50).cast("string"), F.lit(":10.2.0."), (supp % 200).cast("string"), F.lit(":53")), F.concat(F.lit("socket:["), part, F.lit("]")))
     start = ((3944 + supp % 7) * BUCKET).cast("long")
     path = F.lit(None).cast("string")
