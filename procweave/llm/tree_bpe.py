@@ -12,6 +12,7 @@ again and grows until both sides agree with it exactly. They agree
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -99,6 +100,11 @@ def joined(sides: list[Side], encode, sizes: np.ndarray) -> Side:
     return sides[0]
 
 
+@functools.cache
+def _sizes(vocabulary: str) -> np.ndarray:
+    return np.array([len(x) for x in tokens.byte_tokens(vocabulary)])
+
+
 class _Digests:
     """n_tokens, digest of the decimal ids and digest of the decoded text."""
 
@@ -112,6 +118,11 @@ class _Digests:
         return len(ids), hashlib.sha256(b",".join(self.decimal[ids].tolist())).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
+@functools.cache
+def _digests(vocabulary: str) -> _Digests:
+    return _Digests(vocabulary)
+
+
 def _encode(docs: DataFrame, vocabulary: str, leaf: int, id_col: str, text_col: str, row, schema: str) -> DataFrame:
     """``row(doc_ids, arrays of ids)`` makes the rows of documents whose ids are whole."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -137,7 +148,7 @@ def _encode(docs: DataFrame, vocabulary: str, leaf: int, id_col: str, text_col:
 
     def join_leaves(table):
         encoder, make = tokens.encoder(vocabulary, True), row()
-        sizes = np.array([len(x) for x in tokens.byte_tokens(vocabulary)])
+        sizes = _sizes(vocabulary)
         table = table.sort_by("leaf")
         leaf_no = table["leaf"].to_numpy()
         copies = int((leaf_no == 0).sum())  # rows of equal id and text have one result each
@@ -167,7 +178,7 @@ def digests(docs: DataFrame, vocabulary: str, *, leaf: int = LEAF, id_col: str =
     """As ``encode``, then decoded: doc_id, n_tokens, ids_sha256 and decoded_sha256 without the ids themselves."""
 
     def row():
-        digest = _Digests(vocabulary)
+        digest = _digests(vocabulary)
 
         def make(docs, ids):
             n, a, b = zip(*map(digest, ids), strict=True) if ids else ((), (), ())
