@@ -12,6 +12,6 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local["):
+    if not folder and not (spark.sparkContext.master + "[").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp"))
