@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +36,7 @@ class Model:
     word_scores: np.ndarray  # a row for each word: log frequency by language
     gram_scores: np.ndarray
     longest: int
+    key: str  # tells one fitted model from another
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -89,11 +91,11 @@ def fit(labelled: DataFrame, *, rows: int = 20_000, max_words: int = 60_000, max
         if coded is not None:
             np.add.at(n, (coded.indices.to_numpy(), np.array([place[x] for x in rows_["lang"].to_pylist()])), rows_["n"].to_numpy())
         scores[kind] = np.log(n / n.sum(axis=0, keepdims=True)) if len(n) else n
-    return Model(languages, keys[0], keys[1], scores[0], scores[1], longest)
+    return Model(languages, keys[0], keys[1], scores[0], scores[1], longest, uuid.uuid4().hex)
 
 
 class Scorer:
-    """Scores words, and remembers those it has met."""
+    """Scores words, and remembers those it has met. Scores are set off against their mean over the languages."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -101,15 +103,18 @@ class Scorer:
         self.rows = np.zeros((len(self.index) + REMEMBERED, len(model.languages)), np.float32)
         if len(model.words):
             self.rows[: len(self.index)] = model.word_scores - model.word_scores.mean(axis=1, keepdims=True)
-
-    def back_off(self, word: str) -> np.ndarray:
-        m = self.model
-        for n in range(min(m.longest, len(word) + 2), 0, -1):
-            known = [m.grams[g] for g in _grams(word, n) if g in m.grams]
+        centred = model.gram_scores - model.gram_scores.mean(axis=1, keepdims=True) if len(model.grams) else model.gram_scores
+        self.grams = {g: tuple(x) for g, x in zip(model.grams, centred.tolist(), strict=True)}
+        self.nothing = [0.0] * len(model.languages)
+
+    def back_off(self, word: str) -> list[float]:
+        """Mean score of the word's n-grams of the greatest length of which any is known."""
+        find, padded = self.grams.get, f"<{word}>"
+        for n in range(min(self.model.longest, len(padded)), 0, -1):
+            known = [x for i in range(len(padded) - n + 1) if (x := find(padded[i : i + n]))]
             if known:
-                s = m.gram_scores[known].mean(axis=0)
-                return s - s.mean()
-        return np.zeros(len(m.languages))
+                return [sum(column) / len(known) for column in zip(*known, strict=True)]
+        return self.nothing
 
     def document(self, text: str) -> tuple[str, float]:
         words = _WORD.findall(text.lower())
@@ -133,6 +138,17 @@ class Scorer:
         return self.model.languages[best], float(1 / share.sum())
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer of a model, kept between tasks; that of another model goes."""
+    if model.key not in _scorers:
+        _scorers.clear()
+        _scorers[model.key] = Scorer(model)
+    return _scorers[model.key]
+
+
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
     """All columns of the rows and two more (in place of columns of their names): the predicted language and its score
     (0 to 1); ``und`` with score 0 where text is null or has no letter. Only the text is looked at."""
@@ -142,7 +158,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_as: s
     schema = T.StructType([*rows.schema.fields, T.StructField(lang_as, T.StringType()), T.StructField(score_as, T.DoubleType())])
 
     def batches_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
+        scorer = _scorer(sent.value)
         for batch in batches:
             out = [scorer.document(t) if t else (UNKNOWN, 0.0) for t in batch[text_col].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], names=names)
