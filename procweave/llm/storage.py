@@ -13,7 +13,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir():
         return spark.sparkContext.getCheckpointDir().rstrip("/")
