@@ -37,7 +37,7 @@ SKETCH = 128  # minhashes with 2 bits each
 class Spec:
     shingle: int = 5
     percent: int = 80  # least 100 * intersection / union
-    trees: int = 24
+    trees: int = 32
     depth: int = 10
     least_prefix: int = 5
     neighbours: int = 4
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "shingles": pa.array([hashes[b - n : b].tobytes() for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())})
 
-    sets, sets_path = storage.written(rows.join(involved, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, shingles binary"), "sets")
+    sets, sets_path = storage.written(rows.join(involved.hint("merge"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, shingles binary"), "sets")
     storage.remove(spark)
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("matches"), "b"))
     ranked, ranked_path = storage.written(pairs.withColumn("place", best), "ranked")
