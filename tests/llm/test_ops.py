@@ -193,7 +193,7 @@ def test_tree_bpe(docs, rows, empty, leaf):
 def test_pieces_as_the_library(path, leading, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 300)
     r = random.Random(5)
-    parts = [*"aB.,;!?'\n\t  é²Ⅷ3_-<|>ß中́　\xa0\x1c\r", "<|endoftext|>", "  ", "\n\n", "word", "'s", " the", "İ", "ǅ"]
+    parts = [*"aB.,;!?'\n\t  é²Ⅷ3_-<|>ß中́　\xa0\x1c\r", "<|endoftext|>", "  ", "\n\n", "word", "'s", " the", "İ", "ǅ", "Σ", "aΣ", "J\u030c", "\u030c", "E\u0301", "\u2126", "<|EndOfText|>"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(5000)]
     e = tokens.Encoder(path, leading)
     got = [np.frombuffer(x, e.dtype).tolist() for i in range(0, len(texts), 500) for x in e.encode(texts[i : i + 500])]
