@@ -8,16 +8,22 @@ inside a piece. ``tests/llm`` holds the ids against whole texts encoded by the l
 
 from __future__ import annotations
 
+import functools
 import os
 import re
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: White space other than space and line feed; a text that holds any is split with care.
+_ODD_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_ODD = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pieces remembered by a worker; further ones are encoded again for each batch.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 _AT_ONCE = 8192
+_IN_A_ROW = 512
 
 
 class Encoder:
@@ -31,48 +37,66 @@ class Encoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.leading = leading
+        self._code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self._sizes = np.array([len(x) for x in byte_tokens(path)]) if leading else None
         self._first: dict[str, bytes] = {}
         self._rest: dict[str, bytes] = {} if leading else self._first
 
-    def _clean(self, piece: str) -> bool:
-        return not self.leading or bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
-
     def _split(self, text: str) -> list[str]:
+        """Pieces in order. Only the first may start, and only the last may end, with white space, so pieces that are
+        remembered mean the same in every text."""
         pieces = text.split(" ")
-        if self.leading:
-            known = self._rest
-            if not all(p in known or self._clean(p) for p in pieces):
-                return _SAFE_SPACE.split(text)
+        if self.leading and ("" in pieces or "\n " in text or " \n" in text or any(c in text for c in _ODD_ASCII) or not text.isascii() and any(c in text for c in _ODD)):
+            return _SAFE_SPACE.split(text)
         return pieces
 
-    def _encode(self, pieces: set[str], prefix: str, known: dict[str, bytes]) -> dict[str, bytes]:
-        todo, new = list(pieces), {}
-        for i in range(0, len(todo), _AT_ONCE):
-            some = todo[i : i + _AT_ONCE]
+    def _ask(self, pieces: list[str], prefix: str, known: dict[str, bytes]) -> None:
+        """Add the library's ids of pieces to ``known``."""
+        if self.leading and prefix:
+            pieces = self._ask_in_a_row(pieces, known)
+        for i in range(0, len(pieces), _AT_ONCE):
+            some = pieces[i : i + _AT_ONCE]
             for piece, e in zip(some, self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False), strict=True):
-                new[piece] = np.array(e.ids, self.dtype).tobytes()
-        if len(known) < REMEMBERED:
-            known.update((p, x) for p, x in new.items() if self._clean(p))
-        return new
+                known[piece] = array(self._code, e.ids).tobytes()
+
+    def _ask_in_a_row(self, pieces: list[str], known: dict[str, bytes]) -> list[str]:
+        """Pieces as one text with spaces between, whose ids are cut where the bytes of each piece end. Returns pieces that
+        must be asked for alone: they end in white space, or an id runs across an end."""
+        alone = [p for p in pieces if p[-1].isspace()]
+        if alone:
+            pieces = [p for p in pieces if not p[-1].isspace()]
+        for i in range(0, len(pieces), _IN_A_ROW):
+            some = pieces[i : i + _IN_A_ROW]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.cumsum([1 + (len(p) if p.isascii() else len(p.encode())) for p in some])
+            covered = np.cumsum(self._sizes[ids])
+            cut = np.minimum(np.searchsorted(covered, ends), len(covered) - 1)
+            if not (covered[cut] == ends).all():
+                alone += some
+                continue
+            raw, start = ids.tobytes(), 0
+            for piece, stop in zip(some, ((cut + 1) * self.dtype.itemsize).tolist(), strict=True):
+                known[piece] = raw[start:stop]
+                start = stop
+        return alone
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as packed integers of ``dtype``; null counts as empty."""
         split = [self._split(t) if t else [] for t in texts]
-        heads = {p[0] for p in split if p and p[0] not in self._first}
-        new_first = self._encode(heads, "", self._first) if heads else {}
-        found = [list(map(self._rest.get, p[1:])) for p in split]
-        missing = {p[i] for p, x in zip(split, found, strict=True) if None in x for i, y in enumerate(x, 1) if y is None}
-        new_rest = self._encode(missing, " " if self.leading else "", self._rest) if missing else {}
-        out = []
-        for p, x in zip(split, found, strict=True):
-            if not p:
-                out.append(b"")
-                continue
-            if None in x:
-                x = [new_rest[q] if y is None else y for q, y in zip(p[1:], x, strict=True)]
-            head = self._first.get(p[0])
-            out.append((new_first[p[0]] if head is None else head) + b"".join(x))
+        heads = {p[0] for p in split if p}
+        seen = set().union(*[p[1:] for p in split])
+        sizes = len(self._first), len(self._rest)
+        self._ask(list(heads.difference(self._first)), "", self._first)
+        self._ask(list(seen.difference(self._rest)), " " if self.leading else "", self._rest)
+        first, rest, out = self._first, self._rest.__getitem__, []
+        for p in split:
+            pieces = iter(p)
+            out.append(first[next(pieces)] + b"".join(map(rest, pieces)) if p else b"")
+        for known, size in zip((self._first, self._rest), sizes, strict=True):
+            # dictionaries keep their order: what this batch added is at the end
+            while len(known) > max(size, REMEMBERED):
+                known.popitem()
         return out
 
 
@@ -86,6 +110,7 @@ def encoder(path: str, leading: bool) -> Encoder:
     return _encoders[path, leading]
 
 
+@functools.cache
 def byte_tokens(path: str) -> np.ndarray:
     """Bytes of each id of a byte-level vocabulary. Its strings write each byte as one printable character: printable
     Latin-1 as itself, the others from U+0100 on in the order of their values."""
