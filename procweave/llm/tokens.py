@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Sequence
 
@@ -31,7 +32,7 @@ class Encoder:
 
     def __init__(self, path: str, leading: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already run side by side
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
@@ -40,14 +41,28 @@ class Encoder:
         self._code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self._sizes = np.array([len(x) for x in byte_tokens(path)]) if leading else None
+        steps = self.tokenizer.normalizer
+        self._lowers = not leading and isinstance(steps, normalizers.Sequence) and [type(x).__name__ for x in steps] == ["NFC", "Replace", "Lowercase"]
+        self._added = [a.content.lower() for a in self.tokenizer.get_added_tokens_decoder().values()]
         self._first: dict[str, bytes] = {}
         self._rest: dict[str, bytes] = {} if leading else self._first
 
+    def _lower(self, text: str) -> str:
+        """The text in lower case if the vocabulary's own steps (NFC, then each character's lower case) lead to the same;
+        so pieces that differ in case only are encoded once. A final sigma depends on its place, so it is left alone."""
+        if self._lowers and (text.isascii() or "\u03a3" not in text and unicodedata.is_normalized("NFC", text)):
+            low = text.lower()
+            if (low.isascii() or unicodedata.is_normalized("NFC", low)) and not any(a in low for a in self._added):
+                return low
+        return text
+
     def _split(self, text: str) -> list[str]:
         """Pieces in order. Only the first may start, and only the last may end, with white space, so pieces that are
         remembered mean the same in every text."""
+        if not self.leading:
+            return self._lower(text).split(" ")
         pieces = text.split(" ")
-        if self.leading and ("" in pieces or "\n " in text or " \n" in text or any(c in text for c in _ODD_ASCII) or not text.isascii() and any(c in text for c in _ODD)):
+        if ("" in pieces or "\n " in text or " \n" in text or any(c in text for c in _ODD_ASCII) or not text.isascii() and any(c in text for c in _ODD)):
             return _SAFE_SPACE.split(text)
         return pieces
 
