@@ -10,6 +10,11 @@ confirmed on full sets.
 Equal sets are one node. Nodes are dealt out by ranges of the sorted orders, so a crowded region is many tasks; the
 rows at range ends are compared in one more small step. Confirmation takes each node's best candidates first, then
 every other candidate whose two nodes are not yet connected, so no candidate is given up.
+
+A node meets only ``neighbours`` rows on either side in a tree. Runs of equal prefix that are longer than that are written
+down whole, and what is left in them is decided exactly: first the member with most links of each linked component
+against all members of other components, which is enough where a group hangs on one text, then every pair of
+members that are still not connected. Long runs are dealt out in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import storage
@@ -31,6 +36,7 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 LOWER_BYTES = BYTES[_LOWER]
 SKETCH = 128  # minhashes with 2 bits each
+BLOCK = 1000  # members of a crowded run that meet in one group
 
 
 @dataclass(frozen=True)
@@ -119,59 +125,136 @@ def signatures(rows: DataFrame, spec: Spec) -> DataFrame:
     return rows.mapInArrow(sign, _SIGNED)
 
 
-_FOUND = "a long, b long, matches int, tree int, key binary, doc_id long, sketch binary"
+_FOUND = "a long, b long, matches int, tree int, key binary, doc_id long, sketch binary, run long"
 
 
 def _neighbours(spec: Spec, ends: bool):
-    """Candidates among rows sorted by tree and key; with ``ends``, also the first and last rows of the partition."""
+    """Candidates among rows sorted by tree and key, and the members of runs of equal prefix that are too long for all
+    their pairs to be candidates; with ``ends``, also the first and last rows of the partition."""
+    reach = spec.neighbours + 1
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("matches", pa.int32()), ("tree", pa.int32()), ("key", pa.binary()), ("doc_id", pa.int64()), ("sketch", pa.binary())])
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("matches", pa.int32()), ("tree", pa.int32()), ("key", pa.binary()), ("doc_id", pa.int64()), ("sketch", pa.binary()), ("run", pa.int64())])
 
         def edge(rows: pa.Table) -> list[pa.RecordBatch]:
             none = pa.nulls(len(rows), pa.int64())
-            return pa.table([none, none, pa.nulls(len(rows), pa.int32()), rows["tree"], rows["key"], rows["doc_id"], rows["sketch"]], schema=schema).to_batches()
+            return pa.table([none, none, pa.nulls(len(rows), pa.int32()), rows["tree"], rows["key"], rows["doc_id"], rows["sketch"], none], schema=schema).to_batches()
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             if held is None and ends:
-                yield from edge(pa.Table.from_batches([batch.slice(0, spec.neighbours)]))
+                yield from edge(pa.Table.from_batches([batch.slice(0, reach)]))
             old = len(held) if held is not None else 0
             now = pa.Table.from_batches([batch])
             now = pa.concat_tables([held, now]) if old else now
             tree, doc = now["tree"].to_numpy(), now["doc_id"].to_numpy()
             key = np.frombuffer(b"".join(now["key"].to_pylist()), np.uint8).reshape(len(now), -1)
             sketch = np.frombuffer(b"".join(now["sketch"].to_pylist()), np.uint8).reshape(len(now), -1)
+            prefix = key[:, : 2 * spec.least_prefix]
+            last = np.arange(max(old, reach), len(now))
+            last = last[(tree[last] == tree[last - reach]) & (prefix[last] == prefix[last - reach]).all(axis=1)]
+            if len(last):
+                crowd = np.unique(last[:, None] - np.arange(reach + 1))
+                run = tree[crowd].astype(np.uint64)
+                for place in np.ascontiguousarray(prefix[crowd]).view(np.uint16).T:
+                    run = mix(run + place)
+                nothing = [pa.nulls(len(crowd), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*nothing, pa.array(doc[crowd]), pa.nulls(len(crowd), pa.binary()), pa.array(run.view(np.int64))], schema=schema)
             for back in range(1, spec.neighbours + 1):
                 i = np.arange(max(old, back), len(now))
-                i = i[(tree[i] == tree[i - back]) & (doc[i] != doc[i - back]) & (key[i, : 2 * spec.least_prefix] == key[i - back, : 2 * spec.least_prefix]).all(axis=1)]
+                i = i[(tree[i] == tree[i - back]) & (doc[i] != doc[i - back]) & (prefix[i] == prefix[i - back]).all(axis=1)]
                 x = sketch[i] ^ sketch[i - back]
                 matches = SKETCH - np.bitwise_count((x | x >> 1) & 0x55).sum(axis=1, dtype=np.int32)
                 good = matches >= spec.least_matches
                 a, b = doc[i[good]], doc[i[good] - back]
                 if len(a):
-                    nothing = [pa.nulls(len(a), t) for t in (pa.int32(), pa.binary(), pa.int64(), pa.binary())]
+                    nothing = [pa.nulls(len(a), t) for t in (pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int64())]
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(matches[good].astype(np.int32)), *nothing], schema=schema)
-            held = now.slice(max(0, len(now) - spec.neighbours))
+            held = now.slice(max(0, len(now) - reach))
         if held is not None and ends:
             yield from edge(held)
 
     return find
 
 
-def candidates(nodes: DataFrame, spec: Spec) -> DataFrame:
-    """Distinct pairs a > b of nodes (doc_id, keys, sketch) with their matching sketch places."""
+def candidates(nodes: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs a > b of nodes (doc_id, keys, sketch) with their matching sketch places, and the members (run,
+    doc_id) of runs in which not all pairs were looked at."""
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     trees = nodes.select("doc_id", "sketch", F.posexplode(F.array(*[F.substring("keys", 2 * spec.depth * t + 1, 2 * spec.depth) for t in range(spec.trees)])).alias("tree", "key"))
     order = ("tree", "key", "doc_id")
     found, path = storage.written(trees.repartitionByRange(2 * n, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(spec, True), _FOUND), "found")
-    # at most 2 * neighbours rows for each partition
+    # at most 2 * neighbours + 2 rows for each partition
     seams = found.where(F.col("tree").isNotNull()).select("tree", "key", "doc_id", "sketch").distinct().coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours(spec, False), _FOUND)
-    pairs, _ = storage.written(found.where(F.col("a").isNotNull()).unionByName(seams).groupBy("a", "b").agg(F.max("matches").alias("matches")), "pairs")
-    storage.remove(nodes.sparkSession, path)
-    return pairs
+    seams, seams_path = storage.written(seams, "seams")
+    both = found.where(F.col("tree").isNull()).unionByName(seams)
+    pairs, _ = storage.written(both.where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.max("matches").alias("matches")), "pairs")
+    crowd, _ = storage.written(both.where(F.col("run").isNotNull()).select("run", "doc_id").distinct(), "crowd")
+    storage.remove(nodes.sparkSession, path, seams_path)
+    return pairs, crowd
+
+
+def _open_members(crowd: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
+    """Members of the runs that hold more than one component, with what a comparison needs; ``blocks`` of about BLOCK
+    members for each run."""
+    rows = crowd.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    half = lambda i: F.conv(F.hex(F.substring("sketch", 4 * i + 1, 4)), 16, 10).cast("long")
+    parts = [F.shiftleft(half(2 * i), 32).bitwiseOR(half(2 * i + 1)).alias(f"s{i}") for i in range(SKETCH // 32)]
+    out = rows.join(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "run").join(nodes.select("doc_id", "n_shingles", *parts), "doc_id")
+    return out.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+
+
+def _met(x: DataFrame, y: DataFrame, on: list[str], apart: Column, spec: Spec) -> DataFrame:
+    """Distinct pairs a > b of members of one run and of different components that size and sketch allow to link."""
+    x, y = x.alias("x"), y.alias("y")
+    c = F.col
+    match = c("x.component") != c("y.component")
+    for k in on:
+        match = match & (c(f"x.{k}") == c(f"y.{k}"))
+    sizes = 100 * F.least("x.n_shingles", "y.n_shingles") >= spec.percent * F.greatest("x.n_shingles", "y.n_shingles")
+    odd = lambda d: F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    differ = sum((odd(c(f"x.s{i}").bitwiseXOR(c(f"y.s{i}"))) for i in range(SKETCH // 32)), F.lit(0))
+    both = x.join(y, match & apart & sizes & (differ <= SKETCH - spec.least_matches))
+    return both.select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
+def _with_hubs(members: DataFrame, links: DataFrame, spec: Spec) -> DataFrame:
+    """Pairs of the member with most links of each linked component of a run and the members of other components."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
+    rest = [n for n in members.columns if n not in ("run", "component", "block")]
+    hubs = members.join(degree, "doc_id").groupBy("run", "component").agg(F.max_by(F.struct(*rest), F.struct("degree", "doc_id")).alias("r")).select("run", "component", "r.*")
+    hubs = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return _met(hubs, members, ["run", "block"], F.lit(True), spec)
+
+
+def _with_all(members: DataFrame, spec: Spec) -> DataFrame:
+    """All pairs of members of a run; each pair of blocks meets once."""
+    x = members.withColumnRenamed("block", "one").withColumn("two", F.explode(F.sequence(F.col("one"), F.col("blocks") - 1)))
+    y = members.withColumnRenamed("block", "two").withColumn("one", F.explode(F.sequence(F.lit(0), F.col("two"))))
+    return _met(x, y, ["run", "one", "two"], (F.col("x.one") < F.col("x.two")) | (F.col("x.doc_id") > F.col("y.doc_id")), spec)
+
+
+def _crowded_links(crowd: DataFrame, nodes: DataFrame, sets: DataFrame, tested: DataFrame, links: DataFrame, linked: DataFrame, spec: Spec) -> DataFrame:
+    """Components when all members of each run are compared that ``links`` and what was ``tested`` leave unconnected."""
+    spark = crowd.sparkSession
+    tested = tested.select("a", "b")
+    for hubs in (True, False):
+        members, members_path = storage.written(_open_members(crowd, nodes, linked), "members")
+        if members.isEmpty():
+            storage.remove(spark, members_path)
+            return linked
+        met = _with_hubs(members, links, spec) if hubs else _with_all(members, spec)
+        met, _ = storage.written(met.join(tested, ["a", "b"], "left_anti"), "met")
+        more, _ = storage.written(_confirmed(met, sets, spec), "links")
+        storage.remove(spark, members_path)
+        tested = tested.unionByName(met)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            linked, _ = storage.written(components(links), "components")
+    return linked
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
@@ -202,8 +285,8 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     signed, signed_path = storage.written(signatures(rows, spec), "signed")
     real = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     nodes, nodes_path = storage.written(real.groupBy("n_shingles", "low", "high").agg(F.min_by(F.struct("doc_id", "keys", "sketch"), "doc_id").alias("r")).select("n_shingles", "low", "high", "r.*"), "nodes")
-    pairs = candidates(nodes, spec)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    pairs, crowd = candidates(nodes, spec)
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowd.select("doc_id")).distinct()
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,11 +304,14 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
     rest = ranked.where("place > 2").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b"))
-    more = _confirmed(rest, sets, spec)
-    linked = components(sure.unionByName(more))
+    more, more_path = storage.written(_confirmed(rest, sets, spec), "links")
+    links = sure.unionByName(more)
+    linked, linked_path = storage.written(components(links), "components")
+    storage.remove(spark)
+    linked = _crowded_links(crowd, nodes, sets, ranked, links, linked, spec)
     classes = nodes.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("n_shingles", "low", "high", F.coalesce("component", "doc_id").alias("component"))
     classes, classes_path = storage.written(classes, "classes")
-    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, known_path)
+    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, known_path, more_path, linked_path)
     out = signed.select("doc_id", "n_shingles", "low", "high").join(classes, ["n_shingles", "low", "high"], "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

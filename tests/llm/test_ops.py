@@ -124,6 +124,44 @@ def test_near_duplicates(docs, rows, empty, size, percent):
     assert minhash_forest.near_duplicates(empty, spec).count() == 0
 
 
+def test_a_group_that_hangs_on_one_text(spark):
+    """Each of 2,000 copies links with the base alone: base to copy 0.886, copy to copy about 0.79."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(600)]
+    texts = []
+    for n in range(2000):
+        copy = list(base)
+        for i in r.sample(range(1, 599, 3), 12):
+            copy[i] = f"c{n}x{i}"
+        texts.append(" ".join(copy))
+    rows = [*enumerate(texts), (2000, " ".join(base)), (2001, " ".join(f"v{i}" for i in range(600)))]
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), minhash_forest.Spec(shingle=3, percent=85)).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict.fromkeys(range(2001), 0) | {2001: 2001}
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_pairs_that_only_meet_in_a_crowded_run(spark, monkeypatch, block):
+    """With no hub to go by and a prefix that all share, every pair of a run is compared, in one block or many."""
+    monkeypatch.setattr(minhash_forest, "BLOCK", block)
+    r = random.Random(11)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for n in range(60):
+        copy = list(base)
+        for i in r.sample(range(1, 399, 3), 16):
+            copy[i] = f"c{n}x{i}"
+        rows += [(2 * n, " ".join(copy)), (2 * n + 1, " ".join([*copy, "more"]))]
+    r.shuffle(rows)
+    spec = minhash_forest.Spec(shingle=3, percent=85, trees=1, least_prefix=1, neighbours=1)
+    nodes = minhash_forest.signatures(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spec)
+    members = minhash_forest._open_members(nodes.selectExpr("1L AS run", "doc_id"), nodes, spark.createDataFrame([], "id long, component long"))
+    met = {tuple(p) for p in minhash_forest._with_all(members, spec).collect()}
+    assert {(2 * n + 1, 2 * n) for n in range(60)} <= met
+    links = spark.createDataFrame([(2, 0)], "a long, b long")
+    hubs = {tuple(p) for p in minhash_forest._with_hubs(minhash_forest._open_members(nodes.selectExpr("1L AS run", "doc_id"), nodes, spark.createDataFrame([(0, 0), (2, 0)], "id long, component long")), links, spec).collect()}
+    assert hubs == {p for p in met if 2 in p and 0 not in p}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
