@@ -42,14 +42,14 @@ def parent_at_start(processes: DataFrame) -> DataFrame:
     return both.where("__kind = 1").select("host", "pid", F.col("__at").alias("startTime"), F.col("__id").alias("ppid"), "parentStart")
 
 
-def levels(processes: DataFrame, scope: Sequence[str], most: int = 64) -> DataFrame:
+def levels(processes: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Level and path (pids from the root) of every process (scope, pid, ppid; one row each). Each round joins one more
-    generation and is checkpointed; it stops when no process has children left or at ``most`` generations."""
+    generation and is checkpointed; it stops when no process has children left, as a path never meets a process twice."""
     ensure_checkpoints(processes.sparkSession)
     nodes = processes.select(*scope, "pid", "ppid").distinct()
     at = nodes.join(nodes.select(*scope, F.col("pid").alias("ppid")), [*scope, "ppid"], "left_anti").select(*scope, "pid", F.lit(0).alias("level"), F.array("pid").alias("path"))
     out, level = at, 0
-    while level < most:
+    while True:
         parents = at.select(*scope, F.col("pid").alias("ppid"), "path")
         at = nodes.join(parents, [*scope, "ppid"]).where(~F.array_contains("path", F.col("pid"))).select(*scope, "pid", F.lit(level + 1).alias("level"), F.array_append("path", F.col("pid")).alias("path")).checkpoint()
         if at.isEmpty():
@@ -58,13 +58,13 @@ def levels(processes: DataFrame, scope: Sequence[str], most: int = 64) -> DataFr
     return out
 
 
-def subtree(processes: DataFrame, seeds: DataFrame, scope: Sequence[str], most: int = 64) -> DataFrame:
+def subtree(processes: DataFrame, seeds: DataFrame, scope: Sequence[str]) -> DataFrame:
     """All processes reached from the seeds (scope, pid) by parent links."""
     ensure_checkpoints(processes.sparkSession)
     nodes = processes.select(*scope, "pid", "ppid").distinct()
     found = seeds.select(*scope, "pid").distinct()
     new = found
-    for _ in range(most):
+    while True:
         children = nodes.join(new.select(*scope, F.col("pid").alias("ppid")), [*scope, "ppid"], "left_semi").select(*scope, "pid").distinct()
         new = children.join(found, [*scope, "pid"], "left_anti").checkpoint()
         if new.isEmpty():

@@ -110,6 +110,12 @@ def test_job_files(spark, tmp_path):
     assert tables.jobs(spark, str(tmp_path / "b.csv"), 12).first()["hostname"] == "h"
 
 
+def test_trees_deeper_than_64_generations(spark):
+    chain = spark.sql("SELECT 'h' AS host, id + 1 AS pid, id AS ppid FROM range(67)")
+    assert {r.pid: r.level for r in tree.levels(chain, ["host"]).select("pid", "level").collect()} == {i + 1: i for i in range(67)}
+    assert {r.pid for r in tree.subtree(chain, chain.where("pid = 1"), ["host"]).collect()} == set(range(1, 68))
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([("h", "i", "s", 1, 7, 3600, 0), ("h", "i", "s", 1, 7, 7200, 0)], "host string, identifier string, subidentifier string, startTime long, pid long, recTime long, recTimeUSec long")
     sinks.hourly(rows, str(tmp_path / "raw"))
