@@ -22,7 +22,13 @@ _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ODD_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _ODD = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Pieces remembered by a worker; further ones are encoded again for each batch.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
+_LETTERS, _MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", r"!-&(-/:-@\[-`{-~"
+#: A word of Latin letters and marks behind it: two pre-tokens of either vocabulary, whatever stands around them. All
+#: these letters are their own NFC form.
+_WORD_AND_MARKS = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)").fullmatch
+#: The word vocabulary's split into letters, single digits and runs of others.
+_BY_KIND = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _AT_ONCE = 8192
 _IN_A_ROW = 512
 
@@ -32,7 +38,7 @@ class Encoder:
 
     def __init__(self, path: str, leading: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already run side by side
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
@@ -44,6 +50,11 @@ class Encoder:
         steps = self.tokenizer.normalizer
         self._lowers = not leading and isinstance(steps, normalizers.Sequence) and [type(x).__name__ for x in steps] == ["NFC", "Replace", "Lowercase"]
         self._added = [a.content.lower() for a in self.tokenizer.get_added_tokens_decoder().values()]
+        before = self.tokenizer.pre_tokenizer
+        plain = isinstance(before, pre_tokenizers.ByteLevel) and before.use_regex and not before.add_prefix_space and steps is None if leading else self._lowers and _BY_KIND in str(before) and "use_regex=False" in str(before)
+        # words go to the model itself if the vocabulary's steps before it are those that _WORD_AND_MARKS allows for
+        self._words = plain and isinstance(self.tokenizer.model, models.BPE) and not any(re.fullmatch(f"[{_LETTERS}]*[{_MARKS}]*", a) for a in self._added)
+        self._model, self._marks = self.tokenizer.model, {}
         self._first: dict[str, bytes] = {}
         self._rest: dict[str, bytes] = {} if leading else self._first
 
@@ -68,6 +79,8 @@ class Encoder:
 
     def _ask(self, pieces: list[str], prefix: str, known: dict[str, bytes]) -> None:
         """Add the library's ids of pieces to ``known``."""
+        if self._words:
+            pieces = self._ask_words(pieces, prefix, known)
         if self.leading and prefix:
             pieces = self._ask_in_a_row(pieces, known)
         for i in range(0, len(pieces), _AT_ONCE):
@@ -75,6 +88,40 @@ class Encoder:
             for piece, e in zip(some, self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False), strict=True):
                 known[piece] = array(self._code, e.ids).tobytes()
 
+    def _ask_words(self, pieces: list[str], prefix: str, known: dict[str, bytes]) -> list[str]:
+        """Pieces of words, with marks behind them and single line ends between: each word is one text for the model, and
+        so are marks and a line end (which the word vocabulary drops). Returns the other pieces."""
+        others, between = [], self._text("\u010a") if self.leading else b""
+        for piece in pieces:
+            lines = piece.split("\n") if "\n" in piece else [piece]
+            parts = [_WORD_AND_MARKS(x) for x in lines]
+            if None in parts or self._lowers and piece != piece.lower():
+                others.append(piece)
+                continue
+            ids = self._word(parts[0], prefix, known)
+            for one in parts[1:]:
+                ids += between + self._word(one, "", self._first)
+            known[piece] = ids
+        return others
+
+    def _word(self, part: re.Match[str], prefix: str, known: dict[str, bytes]) -> bytes:
+        word, marks = part.groups()
+        ids = known.get(word)
+        if ids is None:
+            text = word if word.isascii() else word.encode().decode("latin-1").translate(_PRINTED)
+            ids = known[word] = self._text("\u0120" + text if prefix else text)
+        if not marks:
+            return ids
+        if marks not in self._marks:
+            if len(self._marks) > _AT_ONCE:
+                self._marks.clear()
+            self._marks[marks] = self._text(marks)
+        return ids + self._marks[marks]
+
+    def _text(self, text: str) -> bytes:
+        """The model's ids of one pre-token."""
+        return array(self._code, [t.id for t in self._model.tokenize(text)]).tobytes()
+
     def _ask_in_a_row(self, pieces: list[str], known: dict[str, bytes]) -> list[str]:
         """Pieces as one text with spaces between, whose ids are cut where the bytes of each piece end. Returns pieces that
         must be asked for alone: they end in white space, or an id runs across an end."""
@@ -125,15 +172,23 @@ def encoder(path: str, leading: bool) -> Encoder:
     return _encoders[path, leading]
 
 
+def _printed() -> dict[int, str]:
+    """The printable character of each byte in a byte-level vocabulary: printable Latin-1 is itself, the others follow
+    from U+0100 on in the order of their values."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_PRINTED = _printed()
+
+
 @functools.cache
 def byte_tokens(path: str) -> np.ndarray:
-    """Bytes of each id of a byte-level vocabulary. Its strings write each byte as one printable character: printable
-    Latin-1 as itself, the others from U+0100 on in the order of their values."""
+    """Bytes of each id of a byte-level vocabulary, whose strings write each byte as one printable character."""
     from tokenizers import Tokenizer
 
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(plain)]
-    value = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    value = {c: b for b, c in _PRINTED.items()}
     t = Tokenizer.from_file(path)
     out = np.empty(t.get_vocab_size(), dtype=object)
     for token, i in t.get_vocab().items():
