@@ -2,7 +2,8 @@
 
 Pass 1 encodes each partition and writes the ids with each document's place in its partition; totals of partitions (one
 row each) give prefix sums, so pass 2 knows every document's place in the stream and cuts it where windows end. A piece
-is the boundary record: document, its own offset, sequence and place there.
+is the boundary record: document, its own offset, sequence and place there. The ids themselves are never shuffled: up
+to ``MOST_PARTS`` partitions, whose number is counted, their prefix sums go to every task.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from . import storage, tokens
 
 LENGTH = 4096
 END = 2
+MOST_PARTS = 1_000_000  # rows of 16 bytes; beyond it the bases are joined by a shuffle
 _TOKENS = "part int, doc_id long, place long, doc_tokens long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -51,6 +53,7 @@ def pack(docs: DataFrame, vocabulary: str, *, length: int = LENGTH, end: int = E
     table, _ = storage.written(rows.mapInArrow(encode, _TOKENS), "tokens")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = table.groupBy("part").agg(F.max(F.col("place") + F.col("doc_tokens")).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = F.broadcast(bases) if bases.count() <= MOST_PARTS else bases
     kind = tokens.encoder(vocabulary, leading).dtype
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
