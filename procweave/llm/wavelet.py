@@ -1,8 +1,9 @@
 """Token ids as wavelet matrices: one succinct file row per shard, in ascending doc_id order.
 
 A shard holds one bit-plane per bit of the largest id, highest first; each plane lists one bit of all ids in an order
-that puts zeros of the planes above before ones. Ranks are counted by blocks of 512 bits. From these alone come the id
-at a place, the count of an id up to a place, and the place of its n-th occurrence.
+that puts zeros of the planes above before ones. Behind the planes stands the rank directory: the ones before each block
+of 512 bits, for each plane. From these alone come the id at a place, the count of an id up to a place (ranks from the
+highest plane down), and the place of its n-th occurrence (selects from the lowest plane up).
 """
 
 from __future__ import annotations
@@ -29,21 +30,22 @@ SHARD_TOKENS = 1 << 19
 def build(ids: np.ndarray) -> bytes:
     """The file form of a sequence of ids below 2**32."""
     levels = max(1, int(ids.max(initial=0)).bit_length())
-    rows, planes = ids, []
+    rows, planes, ranks = ids, [], []
     for level in range(levels - 1, -1, -1):
         bit = (rows >> rows.dtype.type(level)).astype(np.uint8) & np.uint8(1)
         planes.append(np.packbits(bit, bitorder="little").tobytes())
+        ranks.append(np.concatenate([[0], np.cumsum(np.add.reduceat(bit, np.arange(0, len(bit), BLOCK), dtype=np.uint32))]) if len(bit) else np.zeros(1))
         one = bit.view(bool)
         if level:
             zeros = len(rows) - int(np.count_nonzero(one))
             below = np.empty_like(rows)
             below[:zeros], below[zeros:] = rows[~one], rows[one]
             rows = below
-    return _HEADER.pack(_MAGIC, levels, len(ids)) + b"".join(planes)
+    return _HEADER.pack(_MAGIC, levels, len(ids)) + b"".join(planes) + np.array(ranks, "<u4").tobytes()
 
 
 class WaveletMatrix:
-    """Reads a shard's file form; rank directories are counted from the planes on first use."""
+    """Reads a shard's file form; nothing is counted when it is opened."""
 
     def __init__(self, data: bytes):
         magic, self.levels, self.n = _HEADER.unpack_from(data)
@@ -51,22 +53,23 @@ class WaveletMatrix:
             raise ValueError("not a wavelet matrix")
         step = (self.n + 7) // 8
         self._planes = [np.frombuffer(data, np.uint8, step, _HEADER.size + i * step) for i in range(self.levels)]
-        self._zeros = [self.n - int(np.bitwise_count(p).sum(dtype=np.int64)) for p in self._planes]
-        self._ranks: list[np.ndarray] | None = None
+        self._ranks = np.frombuffer(data, "<u4", offset=_HEADER.size + self.levels * step).reshape(self.levels, -1)
+        self._zeros = [self.n - int(r[-1]) for r in self._ranks]
 
     def _rank1(self, level: int, place: int) -> int:
-        if self._ranks is None:
-            self._ranks = []
-            for p in self._planes:
-                bits = np.zeros(-(-len(p) * 8 // BLOCK) * (BLOCK // 8), np.uint8)
-                bits[: len(p)] = p
-                self._ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(bits.reshape(-1, BLOCK // 8)).sum(axis=1, dtype=np.int64))]))
         block, bit = divmod(place, BLOCK)
         part = self._planes[level][block * (BLOCK // 8) : block * (BLOCK // 8) + bit // 8 + 1]
         whole = int(np.bitwise_count(part[: bit // 8]).sum(dtype=np.int64))
         rest = int(part[bit // 8]) & ((1 << bit % 8) - 1) if bit % 8 else 0
         return int(self._ranks[level][block]) + whole + rest.bit_count()
 
+    def _select(self, level: int, bit: int, occurrence: int) -> int:
+        """The place of a plane's one or zero, counted from 0."""
+        before = self._ranks[level] if bit else np.minimum(np.arange(len(self._ranks[level])) * BLOCK, self.n) - self._ranks[level]
+        block = int(np.searchsorted(before, occurrence, side="right")) - 1
+        part = np.unpackbits(self._planes[level][block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)], bitorder="little")
+        return block * BLOCK + int(np.flatnonzero(part == bit)[occurrence - int(before[block])])
+
     def _bit(self, level: int, place: int) -> int:
         return int(self._planes[level][place >> 3]) >> (place & 7) & 1
 
@@ -97,13 +100,14 @@ class WaveletMatrix:
 
     def select(self, token: int, occurrence: int) -> int:
         """The place of an id's occurrence, counted from 0."""
-        if not 0 <= occurrence < self.count(token):
+        lo, hi = self._range(token, self.n) if not token >> self.levels else (0, 0)
+        if not 0 <= occurrence < hi - lo:
             raise IndexError(occurrence)
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            lo, hi = (mid + 1, hi) if self.count(token, mid + 1) <= occurrence else (lo, mid)
-        return lo
+        place = lo + occurrence
+        for level in range(self.levels - 1, -1, -1):
+            bit = token >> (self.levels - 1 - level) & 1
+            place = self._select(level, bit, place - self._zeros[level] if bit else place)
+        return place
 
     def ids(self) -> np.ndarray:
         """All ids in order, from the lowest plane up."""
@@ -154,7 +158,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, id_col: str = "doc_id"
         if ids:
             yield closed()
 
-    rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text").mapInArrow(shards, _SHARD).write.parquet(path)
+    rows.repartitionByRange(n, F.col("doc_id"), F.substring("text", 1, 100)).sortWithinPartitions("doc_id", "text").mapInArrow(shards, _SHARD).write.parquet(path)
 
 
 def read(spark, path: str) -> DataFrame:

@@ -174,7 +174,11 @@ def test_wavelet_matrix():
     assert (m.ids() == ids).all()
     assert [m.access(i) for i in (0, 511, 512, 2999)] == ids[[0, 511, 512, 2999]].tolist()
     assert m.count(5) == (ids == 5).sum() and m.count(5, 1000) == (ids[:1000] == 5).sum() and m.count(60_000) == 0
-    assert [m.select(5, k) for k in (0, 3)] == np.flatnonzero(ids == 5)[[0, 3]].tolist()
+    for token in (0, 5, 64, 69):
+        assert [m.select(token, k) for k in range((ids == token).sum())] == np.flatnonzero(ids == token).tolist()
+    for token, k in ((5, 3000), (60_000, 0)):
+        with pytest.raises(IndexError):
+            m.select(token, k)
     assert len(wavelet.WaveletMatrix(wavelet.build(ids[:0])).ids()) == 0
 
 
@@ -231,7 +235,7 @@ def test_tree_bpe(docs, rows, empty, leaf):
 def test_pieces_as_the_library(path, leading, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 300)
     r = random.Random(5)
-    parts = [*"aB.,;!?'\n\t  é²Ⅷ3_-<|>ß中́　\xa0\x1c\r", "<|endoftext|>", "  ", "\n\n", "word", "'s", " the", "İ", "ǅ", "Σ", "aΣ", "J\u030c", "\u030c", "E\u0301", "\u2126", "<|EndOfText|>"]
+    parts = [*"aB.,;!?'\n\t  é²Ⅷ3_-<|>ß中́　\xa0\x1c\r", "<|endoftext|>", "  ", "\n\n", "word", "'s", " the", "İ", "ǅ", "Σ", "aΣ", "a.\nB", "Enö,***", "ñ_", "don't,", "Ünd", "\u0149", "J\u030c", "\u030c", "E\u0301", "\u2126", "<|EndOfText|>"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(5000)]
     e = tokens.Encoder(path, leading)
     got = [np.frombuffer(x, e.dtype).tolist() for i in range(0, len(texts), 500) for x in e.encode(texts[i : i + 500])]
