@@ -1,20 +1,22 @@
 """MinHash near-dedup with an LSH forest.
 
 Every set of word shingles has ``trees`` sequences of ``depth`` minhashes. Each tree is one sorted order of all
-documents: similar documents share long prefixes and stand close together. Neighbours whose common prefix has at
-least ``least_prefix`` minhashes are candidates; where many documents share that prefix, sorting by the rest of the
-sequence sets those with the longest common prefix side by side, so the depth adapts to how crowded a region is. A 2-bit
-sketch of further minhashes drops candidates that are far below the threshold (six standard deviations), and links are
-confirmed on full sets.
+documents, in which those with the longest common prefixes stand side by side. A region (rows that share
+``least_prefix`` minhashes) of at most ``neighbours`` + 1 rows is compared whole; a larger one is split by its next
+minhash, and again, until its parts are that small, so the depth adapts to how crowded the region is. In the
+sorted order this is one pass: each row meets its ``neighbours`` predecessors of equal prefix. What is still larger at full
+depth is a crowd: it is written down whole, and its members are compared to the end where links have not connected
+them yet, block by block, with the intersections of all members of two blocks in one product of incidence matrices.
+Blocks return links, never pairs.
+
+A pair of similarity s shares the whole sequence of a tree with a chance of s ** depth, so it is missed with one of at most
+(1 - s ** depth) ** trees: 4e-5 at 0.85 and 3e-3 at 0.8 if both lie in crowds in every tree, 1e-8 and 3e-6 elsewhere. A 2-bit
+sketch of further minhashes drops candidates six standard deviations below the threshold; links are confirmed on
+full sets.
 
 Equal sets are one node. Nodes are dealt out by ranges of the sorted orders, so a crowded region is many tasks; the
 rows at range ends are compared in one more small step. Confirmation takes each node's best candidates first, then
 every other candidate whose two nodes are not yet connected, so no candidate is given up.
-
-A node meets only ``neighbours`` rows on either side in a tree. Runs of equal prefix that are longer than that are written
-down whole, and what is left in them is decided exactly: first the member with most links of each linked component
-against all members of other components, which is enough where a group hangs on one text, then every pair of
-members that are still not connected. Long runs are dealt out in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import storage
@@ -36,7 +38,8 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 LOWER_BYTES = BYTES[_LOWER]
 SKETCH = 128  # minhashes with 2 bits each
-BLOCK = 1000  # members of a crowded run that meet in one group
+BLOCK = 512  # members of a crowd, on either side, that meet in one group
+COLUMNS = 8192  # shingles of two blocks that are counted at once
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ class Spec:
     shingle: int = 5
     percent: int = 80  # least 100 * intersection / union
     trees: int = 32
-    depth: int = 10
+    depth: int = 8
     least_prefix: int = 5
     neighbours: int = 4
 
@@ -129,8 +132,8 @@ _FOUND = "a long, b long, matches int, tree int, key binary, doc_id long, sketch
 
 
 def _neighbours(spec: Spec, ends: bool):
-    """Candidates among rows sorted by tree and key, and the members of runs of equal prefix that are too long for all
-    their pairs to be candidates; with ``ends``, also the first and last rows of the partition."""
+    """Candidates among rows sorted by tree and key, and the members of crowds: runs of equal keys that are too long for
+    all their pairs to be candidates; with ``ends``, also the first and last rows of the partition."""
     reach = spec.neighbours + 1
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,11 +157,11 @@ def _neighbours(spec: Spec, ends: bool):
             sketch = np.frombuffer(b"".join(now["sketch"].to_pylist()), np.uint8).reshape(len(now), -1)
             prefix = key[:, : 2 * spec.least_prefix]
             last = np.arange(max(old, reach), len(now))
-            last = last[(tree[last] == tree[last - reach]) & (prefix[last] == prefix[last - reach]).all(axis=1)]
+            last = last[(tree[last] == tree[last - reach]) & (key[last] == key[last - reach]).all(axis=1)]
             if len(last):
                 crowd = np.unique(last[:, None] - np.arange(reach + 1))
                 run = tree[crowd].astype(np.uint64)
-                for place in np.ascontiguousarray(prefix[crowd]).view(np.uint16).T:
+                for place in np.ascontiguousarray(key[crowd]).view(np.uint16).T:
                     run = mix(run + place)
                 nothing = [pa.nulls(len(crowd), t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())]
                 yield pa.RecordBatch.from_arrays([*nothing, pa.array(doc[crowd]), pa.nulls(len(crowd), pa.binary()), pa.array(run.view(np.int64))], schema=schema)
@@ -179,9 +182,9 @@ def _neighbours(spec: Spec, ends: bool):
     return find
 
 
-def candidates(nodes: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
+def candidates(nodes: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
     """Distinct pairs a > b of nodes (doc_id, keys, sketch) with their matching sketch places, and the members (run,
-    doc_id) of runs in which not all pairs were looked at."""
+    doc_id) of crowds, in which not all pairs were looked at."""
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     trees = nodes.select("doc_id", "sketch", F.posexplode(F.array(*[F.substring("keys", 2 * spec.depth * t + 1, 2 * spec.depth) for t in range(spec.trees)])).alias("tree", "key"))
     order = ("tree", "key", "doc_id")
@@ -190,71 +193,85 @@ def candidates(nodes: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame]:
     seams = found.where(F.col("tree").isNotNull()).select("tree", "key", "doc_id", "sketch").distinct().coalesce(1).sortWithinPartitions(*order).mapInArrow(_neighbours(spec, False), _FOUND)
     seams, seams_path = storage.written(seams, "seams")
     both = found.where(F.col("tree").isNull()).unionByName(seams)
-    pairs, _ = storage.written(both.where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.max("matches").alias("matches")), "pairs")
-    crowd, _ = storage.written(both.where(F.col("run").isNotNull()).select("run", "doc_id").distinct(), "crowd")
+    pairs, pairs_path = storage.written(both.where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.max("matches").alias("matches")), "pairs")
+    crowd, crowd_path = storage.written(both.where(F.col("run").isNotNull()).select("run", "doc_id").distinct(), "crowd")
     storage.remove(nodes.sparkSession, path, seams_path)
-    return pairs, crowd
+    return pairs, crowd, (pairs_path, crowd_path)
 
 
-def _open_members(crowd: DataFrame, nodes: DataFrame, known: DataFrame) -> DataFrame:
-    """Members of the runs that hold more than one component, with what a comparison needs; ``blocks`` of about BLOCK
-    members for each run."""
+def _crowd_links(crowd: DataFrame, nodes: DataFrame, sets: DataFrame, known: DataFrame, spec: Spec) -> DataFrame:
+    """Links a > b that connect members of a crowd which ``known`` (id, component) leaves apart: of each pair of blocks
+    a forest of all such links. A crowd that is one component already costs nothing."""
     rows = crowd.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    half = lambda i: F.conv(F.hex(F.substring("sketch", 4 * i + 1, 4)), 16, 10).cast("long")
-    parts = [F.shiftleft(half(2 * i), 32).bitwiseOR(half(2 * i + 1)).alias(f"s{i}") for i in range(SKETCH // 32)]
-    out = rows.join(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "run").join(nodes.select("doc_id", "n_shingles", *parts), "doc_id")
-    return out.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-
-
-def _met(x: DataFrame, y: DataFrame, on: list[str], apart: Column, spec: Spec) -> DataFrame:
-    """Distinct pairs a > b of members of one run and of different components that size and sketch allow to link."""
-    x, y = x.alias("x"), y.alias("y")
-    c = F.col
-    match = c("x.component") != c("y.component")
-    for k in on:
-        match = match & (c(f"x.{k}") == c(f"y.{k}"))
-    sizes = 100 * F.least("x.n_shingles", "y.n_shingles") >= spec.percent * F.greatest("x.n_shingles", "y.n_shingles")
-    odd = lambda d: F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    differ = sum((odd(c(f"x.s{i}").bitwiseXOR(c(f"y.s{i}"))) for i in range(SKETCH // 32)), F.lit(0))
-    both = x.join(y, match & apart & sizes & (differ <= SKETCH - spec.least_matches))
-    return both.select(F.greatest("x.doc_id", "y.doc_id").alias("a"), F.least("x.doc_id", "y.doc_id").alias("b")).distinct()
-
-
-def _with_hubs(members: DataFrame, links: DataFrame, spec: Spec) -> DataFrame:
-    """Pairs of the member with most links of each linked component of a run and the members of other components."""
-    degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree"))
-    rest = [n for n in members.columns if n not in ("run", "component", "block")]
-    hubs = members.join(degree, "doc_id").groupBy("run", "component").agg(F.max_by(F.struct(*rest), F.struct("degree", "doc_id")).alias("r")).select("run", "component", "r.*")
-    hubs = hubs.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return _met(hubs, members, ["run", "block"], F.lit(True), spec)
-
-
-def _with_all(members: DataFrame, spec: Spec) -> DataFrame:
-    """All pairs of members of a run; each pair of blocks meets once."""
-    x = members.withColumnRenamed("block", "one").withColumn("two", F.explode(F.sequence(F.col("one"), F.col("blocks") - 1)))
-    y = members.withColumnRenamed("block", "two").withColumn("one", F.explode(F.sequence(F.lit(0), F.col("two"))))
-    return _met(x, y, ["run", "one", "two"], (F.col("x.one") < F.col("x.two")) | (F.col("x.doc_id") > F.col("y.doc_id")), spec)
-
-
-def _crowded_links(crowd: DataFrame, nodes: DataFrame, sets: DataFrame, tested: DataFrame, links: DataFrame, linked: DataFrame, spec: Spec) -> DataFrame:
-    """Components when all members of each run are compared that ``links`` and what was ``tested`` leave unconnected."""
-    spark = crowd.sparkSession
-    tested = tested.select("a", "b")
-    for hubs in (True, False):
-        members, members_path = storage.written(_open_members(crowd, nodes, linked), "members")
-        if members.isEmpty():
-            storage.remove(spark, members_path)
-            return linked
-        met = _with_hubs(members, links, spec) if hubs else _with_all(members, spec)
-        met, _ = storage.written(met.join(tested, ["a", "b"], "left_anti"), "met")
-        more, _ = storage.written(_confirmed(met, sets, spec), "links")
-        storage.remove(spark, members_path)
-        tested = tested.unionByName(met)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            linked, _ = storage.written(components(links), "components")
-    return linked
+    members = rows.join(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "run").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    # every pair of blocks meets once: a member goes to as many groups as its crowd has blocks
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    sent = members.withColumn("other", other).select("run", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "component")
+    full = sent.join(nodes.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+
+    def compare(key, table):
+        block = table["block"].to_numpy()
+        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        doc, component = table["doc_id"].to_numpy(), table["component"].to_numpy()
+        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
+        sizes = np.array([len(x) // 8 for x in table["shingles"].to_pylist()], np.int64)
+        low, high = np.minimum(sizes[left][:, None], sizes[right]), np.maximum(sizes[left][:, None], sizes[right])
+        may = (component[left][:, None] != component[right]) & (100 * low >= spec.percent * high)
+        differ = np.zeros(may.shape, np.int32)
+        for x in sketch.T:
+            d = x[left][:, None] ^ x[right]
+            differ += np.bitwise_count((d | d >> np.uint64(1)) & np.uint64(0x5555555555555555))
+        may &= SKETCH - differ >= spec.least_matches
+        rows_, columns = may.any(axis=1), may.any(axis=0)
+        left, right, may = left[rows_], right[columns], may[np.ix_(rows_, columns)]
+        both = intersections([table["shingles"][int(i)].as_buffer() for i in left], [table["shingles"][int(i)].as_buffer() for i in right]) if may.any() else np.zeros(may.shape)
+        linked = may & (100 * both >= spec.percent * (sizes[left][:, None] + sizes[right] - both))
+        a, b = forest(linked, doc[left], doc[right])
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return full.groupBy("run", "one", "two").applyInArrow(compare, "a long, b long")
+
+
+def intersections(left: list, right: list) -> np.ndarray:
+    """Sizes of the intersections of two lists of sets (buffers of distinct 64-bit hashes), as products of 0/1 matrices
+    over a part of the hashes at a time."""
+    x, y = ([np.frombuffer(b, np.uint64) for b in some] for some in (left, right))
+    of = [np.repeat(np.arange(len(some)), [len(s) for s in some]) for some in (x, y)]
+    x, y = np.concatenate(x), np.concatenate(y)
+    common = np.intersect1d(x, y)  # hashes on one side only cannot count
+    out = np.zeros((len(left), len(right)), np.float32)
+    place = [np.searchsorted(common, h) for h in (x, y)]
+    place = [np.where(common[np.minimum(p, len(common) - 1)] == h, p, -1) for p, h in zip(place, (x, y), strict=True)] if len(common) else []
+    for start in range(0, len(common), COLUMNS):
+        parts = []
+        for p, o, n in zip(place, of, out.shape, strict=True):
+            here = (p >= start) & (p < start + COLUMNS)
+            m = np.zeros((n, min(COLUMNS, len(common) - start)), np.float32)
+            m[o[here], p[here] - start] = 1
+            parts.append(m)
+        out += parts[0] @ parts[1].T
+    return out.astype(np.int64)
+
+
+def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Real links (left, right) that connect whatever ``linked`` connects: those that join two parts
+    which earlier ones left apart."""
+    out: set[tuple[int, int]] = set()
+    top = np.arange(len(left) + len(right))
+
+    def root(i: int) -> int:
+        while top[i] != i:
+            top[i] = i = top[top[i]]
+        return i
+
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = root(int(i)), root(len(left) + int(j))
+        if a != b:
+            top[a] = b
+            out.add((int(left[i]), int(right[j])))
+    pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
@@ -285,7 +302,7 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     signed, signed_path = storage.written(signatures(rows, spec), "signed")
     real = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     nodes, nodes_path = storage.written(real.groupBy("n_shingles", "low", "high").agg(F.min_by(F.struct("doc_id", "keys", "sketch"), "doc_id").alias("r")).select("n_shingles", "low", "high", "r.*"), "nodes")
-    pairs, crowd = candidates(nodes, spec)
+    pairs, crowd, candidate_paths = candidates(nodes, spec)
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowd.select("doc_id")).distinct()
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,10 +325,13 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     links = sure.unionByName(more)
     linked, linked_path = storage.written(components(links), "components")
     storage.remove(spark)
-    linked = _crowded_links(crowd, nodes, sets, ranked, links, linked, spec)
+    late, late_path = storage.written(_crowd_links(crowd, nodes, sets, linked, spec), "links")
+    if not late.isEmpty():
+        storage.remove(spark, linked_path)
+        linked, linked_path = storage.written(components(links.unionByName(late)), "components")
     classes = nodes.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("n_shingles", "low", "high", F.coalesce("component", "doc_id").alias("component"))
     classes, classes_path = storage.written(classes, "classes")
-    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, known_path, more_path, linked_path)
+    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, known_path, more_path, late_path, linked_path, *candidate_paths)
     out = signed.select("doc_id", "n_shingles", "low", "high").join(classes, ["n_shingles", "low", "high"], "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -139,27 +139,43 @@ def test_a_group_that_hangs_on_one_text(spark):
     assert {r.doc_id: r.component_id for r in got} == dict.fromkeys(range(2001), 0) | {2001: 2001}
 
 
+def test_pairs_in_a_crowd_below_the_threshold(spark):
+    """700 documents with a common core are at 0.833 to each other, below the threshold; 40 of them have a partner at 0.856."""
+    r = random.Random(12)
+    core = [f"w{i}" for i in range(400)]
+    own = lambda n, k: [f"o{n}x{i}" for i in range(k)]
+    texts = [" ".join([*core, *own(n, 40)]) for n in range(700)]
+    texts += [" ".join([*core, *own(n, 6), *own(1000 + n, 34)]) for n in range(40)]
+    rows = list(enumerate(texts))
+    r.shuffle(rows)
+    got = minhash_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), minhash_forest.Spec(shingle=3, percent=85)).collect()
+    sets = [{tuple(w[j : j + 3]) for j in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    linked = [n for n in range(40) if 100 * len(sets[n] & sets[700 + n]) >= 85 * len(sets[n] | sets[700 + n])]
+    other = 100 * len(sets[0] & sets[1]) >= 85 * len(sets[0] | sets[1])
+    assert len(linked) == 40 and not other
+    assert {r.doc_id: r.component_id for r in got} == {n: n for n in range(700)} | {700 + n: n for n in range(40)}
+
+
 @pytest.mark.parametrize("block", [3, 1000])
-def test_pairs_that_only_meet_in_a_crowded_run(spark, monkeypatch, block):
-    """With no hub to go by and a prefix that all share, every pair of a run is compared, in one block or many."""
+def test_crowds_are_compared_to_the_end(spark, monkeypatch, block):
+    """All members of a crowd that are not connected yet, in one block or many."""
     monkeypatch.setattr(minhash_forest, "BLOCK", block)
     r = random.Random(11)
     base = [f"w{i}" for i in range(400)]
     rows = []
-    for n in range(60):
+    for n in range(20):
         copy = list(base)
         for i in r.sample(range(1, 399, 3), 16):
             copy[i] = f"c{n}x{i}"
         rows += [(2 * n, " ".join(copy)), (2 * n + 1, " ".join([*copy, "more"]))]
-    r.shuffle(rows)
-    spec = minhash_forest.Spec(shingle=3, percent=85, trees=1, least_prefix=1, neighbours=1)
-    nodes = minhash_forest.signatures(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spec)
-    members = minhash_forest._open_members(nodes.selectExpr("1L AS run", "doc_id"), nodes, spark.createDataFrame([], "id long, component long"))
-    met = {tuple(p) for p in minhash_forest._with_all(members, spec).collect()}
-    assert {(2 * n + 1, 2 * n) for n in range(60)} <= met
-    links = spark.createDataFrame([(2, 0)], "a long, b long")
-    hubs = {tuple(p) for p in minhash_forest._with_hubs(minhash_forest._open_members(nodes.selectExpr("1L AS run", "doc_id"), nodes, spark.createDataFrame([(0, 0), (2, 0)], "id long, component long")), links, spec).collect()}
-    assert hubs == {p for p in met if 2 in p and 0 not in p}
+    spec = minhash_forest.Spec(shingle=3, percent=85, trees=1)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = minhash_forest.signatures(frame, spec)
+    sets = [(i, x.tobytes()) for i, t in rows for _, x, _ in minhash_forest.shingle_sets(spark.createDataFrame([(i, t.encode())], "doc_id long, text binary").toArrow().to_batches()[0], 3)]
+    sets = spark.createDataFrame(sets, "doc_id long, shingles binary")
+    links = lambda known: {tuple(p) for p in minhash_forest._crowd_links(nodes.selectExpr("1L AS run", "doc_id"), nodes, sets, spark.createDataFrame(known, "id long, component long"), spec).collect()}
+    assert links([]) == {(2 * n + 1, 2 * n) for n in range(20)}
+    assert links([(0, 0), (1, 0)]) == {(2 * n + 1, 2 * n) for n in range(1, 20)}
 
 
 def test_components_of_a_path_and_a_star(spark):
