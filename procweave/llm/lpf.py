@@ -1,27 +1,181 @@
-"""Suffix-array dedup over bytes by longest-previous-factor arrays.
-
-A byte goes if the suffix that starts at or up to ``size - 1`` bytes before it has a previous factor (a match in a
-document of smaller id) of at least ``size`` bytes. Only that bound matters, so suffixes are ordered to a depth of
-``size`` bytes: buckets hold suffixes of equal anchor, sorted by their content at that depth and then by document;
-in this order the previous smaller document of a suffix with the same content is its earlier match, and none
-exists if it is first. Suffixes that stand alone at their anchor never leave the first step.
+"""Substring dedup over bytes by longest-previous-factor arrays.
+
+A byte goes if a suffix that starts at most ``size - 1`` bytes before it, and in the same document, has a previous factor
+(a match in a document of smaller id) of at least ``size`` bytes. Only that bound matters, so suffixes are ordered
+to a depth of ``size`` bytes:
+
+1. Suffixes whose anchor (see ``winnow``) no other document has cannot have a previous factor; ``repeats`` finds the others.
+2. Runs of the others under one anchor travel as the bytes they stand on, each distinct one once for a group, to the
+   anchor's bucket. So equal suffixes meet, and a bucket sees every suffix that could lie next to another in the order.
+3. A bucket orders the runs by their bytes. A run that an earlier document has too is known; where an anchor has several
+   runs, their suffixes are ordered by ``size`` bytes and then by document. Neighbours in this order with a common
+   prefix of ``size`` bytes form intervals of the suffix array, and since an interval is ordered by document, the previous
+   smaller value of each suffix is its first: the longest previous factor reaches ``size`` unless the suffix is of that
+   document itself.
+4. The group gets one bit for each suffix and removes later copies.
+
+All comparisons are of bytes; hashes only choose buckets and, within one group, tell equal runs (128 bits).
 """
 
 from __future__ import annotations
 
 import hashlib
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from . import repeats
-from .winnow import covered, runs
+from . import repeats, storage
+from .winnow import covered, grow, mix, runs
+
+_RUNS = "bucket int, grp int, n int, tags binary, lengths binary, docs binary, bytes binary"
 
 _SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
 
 
+class Runs:
+    """Runs of suffixes of a group that other documents may have too: each distinct one once, with the least doc_id of the
+    group that has it, in order of bucket. A run of a hot anchor is dealt out suffix by suffix."""
+
+    def __init__(self, group: repeats.Group, answers: pa.Table):
+        self.group, size, at = group, group.spec.size, 0
+        code, base, keys, prints, owners, starts, lengths, rows = group.codes(answers), 0, [], [], [], [], [], []
+        for p in group.parts:
+            mine = code[at : at + len(p.paths.lo)]
+            shared, hot = np.flatnonzero(mine == repeats.SHARED), np.flatnonzero(mine == repeats.HOT)
+            n = p.paths.hi - p.paths.lo + 1
+            one = grow(p.paths.lo[hot], n[hot]) if len(hot) else hot
+            alone = mix(p.paths.sequence.spans(one, one + size)) if len(hot) else p.paths.anchor[:0]
+            keys += [p.paths.anchor[shared], alone]
+            prints += [p.content[shared], alone]
+            owners += [p.owner[shared], np.repeat(p.owner[hot], n[hot])]
+            starts += [p.paths.lo[shared] + base, one + base]
+            lengths += [n[shared], np.ones(len(one), np.int64)]
+            rows.append(len(shared) + len(one))
+            base, at = base + len(p.data), at + len(mine)
+        whole = lambda x, kind: np.concatenate([np.zeros(0, kind), *x])
+        self.rows, self.start, self.n = np.array(rows), whole(starts, np.int64), whole(lengths, np.int64)
+        self.owner, keys, prints = whole(owners, np.int64), whole(keys, np.uint64), whole(prints, np.uint64)
+        bucket = repeats.bucket_of(keys, group.buckets)
+        order, of, self.least = repeats.least(bucket, keys, prints, docs=self.owner)
+        self.of_row = np.empty(len(order), np.int64)
+        self.of_row[order] = of
+        first = np.ones(len(order), bool)
+        first[1:] = of[1:] != of[:-1]
+        self.sent = order[first]
+        self.tags = keys[self.sent].astype(np.uint32)
+        self.cuts = np.searchsorted(bucket[self.sent], np.arange(group.buckets + 1))
+
+    def messages(self, grp: int) -> pa.Table:
+        data = np.concatenate([np.zeros(0, np.uint8), *(p.data for p in self.group.parts)])
+        full, out = np.flatnonzero(np.diff(self.cuts)), []
+        for b in full:
+            s = slice(self.cuts[b], self.cuts[b + 1])
+            rows = self.sent[s]
+            raw = data[grow(self.start[rows], self.n[rows] + self.group.spec.size - 1)].tobytes()
+            pack = lambda x: pa.compress(x.tobytes(), codec="zstd", asbytes=True)
+            out.append((len(rows), self.tags[s].tobytes(), pack(self.n[rows].astype(np.uint8)), pack(self.least[s]), pa.compress(raw, codec="zstd", asbytes=True)))
+        n, *packed = zip(*out, strict=True) if out else ([], [], [], [], [])
+        return pa.table({"bucket": pa.array(full, pa.int32()), "grp": pa.array([grp] * len(full), pa.int32()), "n": pa.array(n, pa.int32())} | {k: pa.array(x, pa.binary()) for k, x in zip(("tags", "lengths", "docs", "bytes"), packed, strict=True)})
+
+    def repeated(self, masks: np.ndarray) -> Iterator[tuple[repeats.Part, np.ndarray]]:
+        """Each part with the places of its suffixes that have a previous factor of ``size`` bytes, from a bit for each
+        suffix of what was sent."""
+        every = (np.uint64(1) << self.n.astype(np.uint64)) - np.uint64(1)
+        mask = np.where(self.owner > self.least[self.of_row], every, masks[self.of_row].astype(np.uint64))
+        at = base = 0
+        for p, rows in zip(self.group.parts, self.rows.tolist(), strict=True):
+            some = np.arange(at, at + rows)[mask[at : at + rows] > 0]
+            n = self.n[some]
+            place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            bit = np.repeat(mask[some], n) >> place.astype(np.uint64) & np.uint64(1)
+            yield p, (np.repeat(self.start[some] - base, n) + place)[bit > 0]
+            at, base = at + rows, base + len(p.data)
+
+
+_UPTO = np.array([(1 << 64) - (1 << 64 - 8 * n) for n in range(9)], np.uint64)
+
+
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one big-endian integer (zeros behind the end): its order is that of the bytes."""
+    out, wide = np.zeros(len(data) + 1, np.uint64), np.concatenate([data, np.zeros(9, np.uint8)])
+    for i in range(8):
+        out |= wide[i : i + len(out)].astype(np.uint64) << np.uint64(56 - 8 * i)
+    return out
+
+
+def _bytes(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+    """Sort keys of the byte strings (start, length), the main one first."""
+    return [words[np.minimum(start + i, len(words) - 1)] & _UPTO[np.clip(length - i, 0, 8)] for i in range(0, int(length.max(initial=0)), 8)]
+
+
+def previous_factors(data: np.ndarray, n: np.ndarray, docs: np.ndarray, tags: np.ndarray, size: int) -> np.ndarray:
+    """For runs of suffixes of a bucket (their bytes one after the other, ``n`` suffixes each): a bit for each suffix
+    whose longest previous factor has at least ``size`` bytes."""
+    masks = np.zeros(len(n), np.uint64)
+    if not len(n):
+        return masks.astype(np.uint32)
+    length, words = n + size - 1, _words(data)
+    start = np.cumsum(length) - length
+    order, of, first = repeats.least(tags, n, *_bytes(words, start, length), docs=docs)
+    run = order[np.flatnonzero(np.diff(of, prepend=-1))]  # distinct runs in order, each with its first document
+    _, anchor, count = np.unique(tags[run], return_inverse=True, return_counts=True)
+    of_run, split = np.zeros(len(run), np.uint64), np.flatnonzero(count[anchor] > 1)
+    if len(split):
+        some = run[split]
+        begin = np.cumsum(n[some]) - n[some]
+        suffix, doc = grow(start[some], n[some]), np.repeat(docs[some], n[some])
+        array, interval, least = repeats.least(*_bytes(words, suffix, np.full(len(suffix), size)), docs=doc)
+        factor = np.empty(len(array), bool)
+        factor[array] = doc[array] > least[interval]
+        bit = (suffix - np.repeat(start[some], n[some])).astype(np.uint64)
+        of_run[split] = np.bitwise_or.reduceat(factor.astype(np.uint64) << bit, begin)
+    every = (np.uint64(1) << n[order].astype(np.uint64)) - np.uint64(1)
+    masks[order] = np.where(docs[order] > first[of], every, of_run[of])
+    return masks.astype(np.uint32)
+
+
+def _resolver(size: int):
+    def resolve(key, table):
+        sizes = table["n"].to_pylist()
+        unpack = lambda name, width: np.concatenate([np.zeros(0, width), *(np.frombuffer(pa.decompress(x, decompressed_size=n * np.dtype(width).itemsize, codec="zstd", asbytes=True), width) for x, n in zip(table[name].to_pylist(), sizes, strict=True))])
+        n = unpack("lengths", np.uint8).astype(np.int64)
+        ends = np.cumsum(sizes)
+        raw = [pa.decompress(x, decompressed_size=int((n[b - k : b] + size - 1).sum()), codec="zstd", asbytes=True) for x, k, b in zip(table["bytes"].to_pylist(), sizes, ends.tolist(), strict=True)]
+        tags = np.frombuffer(b"".join(table["tags"].to_pylist()), np.uint32)
+        masks = previous_factors(np.frombuffer(b"".join(raw), np.uint8), n, unpack("docs", np.int64), tags, size)
+        return repeats.answer(key[0].as_py(), table["grp"].to_pylist(), sizes, masks)
+
+    return resolve
+
+
+def find(docs: DataFrame, spec: repeats.Spec, finish: Callable[[repeats.Part, np.ndarray], pa.RecordBatch], schema: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``schema`` that ``finish(part, suffixes)`` makes for each document from the places of its suffixes with a
+    previous factor of ``size`` bytes."""
+    with repeats.Dealt(docs, spec, id_col=id_col, text_col=text_col) as dealt:
+        buckets = dealt.buckets
+
+        def send(key, table, answers):
+            return Runs(repeats.Group(table, spec, buckets), answers).messages(key[0].as_py())
+
+        def last(key, table, both):
+            kind = both["kind"].to_numpy()
+            of = lambda k: both.filter(pa.array(kind == k))
+            found = Runs(repeats.Group(table, spec, buckets), of(0))
+            masks = repeats.answers_of(of(1), found.cuts, len(found.sent), np.uint32)
+            return pa.Table.from_batches([finish(p, s) for p, s in found.repeated(masks)])
+
+        sent = dealt.grouped.cogroup(dealt.answers.groupBy("grp")).applyInArrow(send, _RUNS)
+        factors, path = storage.written(sent.groupBy("bucket").applyInArrow(_resolver(spec.size), repeats.ANSWER), "factors")
+        storage.remove(dealt.spark)
+        both = dealt.answers.selectExpr("*", "0 AS kind").unionByName(factors.selectExpr("*", "1 AS kind"))
+        out, _ = storage.written(dealt.grouped.cogroup(both.groupBy("grp")).applyInArrow(last, schema), "repeats")
+        storage.remove(dealt.spark, path)
+    return out
+
+
 def _digest(size: int):
     def finish(part: repeats.Part, windows: np.ndarray) -> pa.RecordBatch:
         gone = covered(len(part.data), windows, size)
@@ -38,14 +192,14 @@ def _digest(size: int):
     return finish
 
 
-def removed_spans(docs: DataFrame, *, size: int = 50, k: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed_spans(docs: DataFrame, *, size: int = 50, k: int = 25, hot: int = 2000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Byte spans of UTF-8 text that documents of smaller id have too, one row per document: doc_id, n_bytes,
     n_removed, n_spans, kept_sha256 and spans (start, stop in bytes).
 
-    Null text counts as empty. Rows that repeat a doc_id are judged alike and do not remove each other; a null
+    Null text counts as empty; however long, a text is one document. Rows that repeat a doc_id are judged alike and do not remove each other; a null
     doc_id counts as larger than all. Other columns are ignored.
     """
-    return repeats.find(docs, repeats.Spec("byte", size, k, content_bytes=6), _digest(size), _SCHEMA, id_col=id_col, text_col=text_col)
+    return find(docs, repeats.Spec("byte", size, k, hot=hot), _digest(size), _SCHEMA, id_col=id_col, text_col=text_col)
 
 
 def _cleaned(size: int):
@@ -67,7 +221,24 @@ def _cleaned(size: int):
 
 def without_repeats(docs: DataFrame, *, size: int = 50, k: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text of every row, without the characters that lie wholly in removed spans (see ``removed_spans``)."""
-    return repeats.find(docs, repeats.Spec("byte", size, k, content_bytes=6), _cleaned(size), "doc_id long, text string", id_col=id_col, text_col=text_col)
+    return find(docs, repeats.Spec("byte", size, k), _cleaned(size), "doc_id long, text string", id_col=id_col, text_col=text_col)
+
+
+#: The same rows from all windows of all documents; bytes are written as pairs of hexadecimal digits.
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM d, unnest(range(length(h) // 2 - 49)) AS t(i)),
+firsts AS (SELECT s, min(doc_id) AS least FROM windows GROUP BY s),
+marked AS (SELECT doc_id, i FROM windows JOIN firsts USING (s) WHERE least < doc_id),
+units AS (SELECT doc_id, j, substr(h, 2 * j + 1, 2) AS x FROM d, unnest(range(length(h) // 2)) AS t(j)),
+covered AS (
+  SELECT u.doc_id, j, x, coalesce(count(m.i) OVER (PARTITION BY u.doc_id ORDER BY j ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) > 0, false) AS gone
+  FROM units u LEFT JOIN marked m ON m.doc_id = u.doc_id AND m.i = u.j),
+runs AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY j) AS first FROM covered)
+SELECT d.doc_id, length(any_value(h)) // 2 AS n_bytes, count_if(gone)::BIGINT AS n_removed, count_if(first)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(string_agg(x, '' ORDER BY j) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id
+"""
 
 
 def op9_suffix_dedup(spark, sf_dir: str) -> DataFrame:

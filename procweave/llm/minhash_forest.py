@@ -337,5 +337,19 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+#: The same rows from the full sets of all documents, by counting shared shingles.
+OP2_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM d, unnest(range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 1, 2) END)) AS t(i)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents JOIN least ON id = doc_id LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op2_lsh_forest(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Spec(shingle=3, percent=85))

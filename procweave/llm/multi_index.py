@@ -145,5 +145,18 @@ def links(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     return out.select("vec_id", F.when(F.col("vec_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
+#: The same rows from all pairs.
+OP8_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+good AS MATERIALIZED (SELECT * FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS MATERIALIZED (SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.vec_id <> q.vec_id WHERE list_cosine_similarity(p.x, q.x) >= 0.9),
+reach AS (SELECT vec_id AS id, vec_id AS other FROM v UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM v JOIN least ON id = vec_id LEFT JOIN degree ON a = vec_id
+"""
+
+
 def op8_multi_index(spark, sf_dir: str) -> DataFrame:
     return links(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -1,25 +1,16 @@
-"""Windows of ``size`` units that start in more than one document, found without ever pairing documents.
-
-Documents are dealt once into groups of about ``group_bytes`` (a bucketed table, so later steps read them without
-another shuffle). Each step sends packed arrays, not a row per window:
-
-1. A group reduces its super-k-mers (see ``winnow``) to distinct (anchor, content) with the smallest doc_id and
-   sends them to the bucket of the anchor. However often a passage occurs, a group sends it once.
-2. A bucket sorts what it got. Content that a smaller doc_id has too is *known*; an anchor seen with several
-   contents is *branching*: windows may be shared although the super-k-mers around them differ.
-3. The group (cogrouped with its answers) sends the single windows of branching super-k-mers that nobody
-   had before, again with the smallest doc_id of the group; 4. buckets sort them in turn and answer.
-5. The group marks windows that a smaller doc_id has, and hands covered units of each document to the caller.
-
-Every decision is by the least doc_id over the whole table, so it is exact up to the hashes: a match needs equal
-64-bit anchors and equal fingerprints of ``content_bytes`` of all units of the super-k-mer, or equal 64-bit window
-fingerprints.
+"""Super-k-mers that other documents may have too: what the operators on repeated passages start from.
+
+Documents are dealt once into groups (a bucketed table, so later steps read them without another shuffle). A group sends
+each distinct anchor of its super-k-mers (see ``winnow``) once to the anchor's bucket, packed; the bucket tells which
+anchors come from several groups. Only their super-k-mers, and those whose anchor a group has twice itself, can hold a
+window that starts in two documents; the operators compare those on the texts. Anchors travel as 48 bits: equal ones by
+chance only let more through.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,15 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import storage
-from .winnow import BYTES, SuperKmers, grow, mix, words
+from .winnow import BYTES, SuperKmers, words
 
-_MESSAGE = "bucket int, grp int, base long, hashes binary, prints binary, docs binary"
-_ANSWER = "grp int, step int, bucket int, places binary, codes binary"
-KNOWN, BRANCHING = 1, 2
+_MESSAGE = "bucket int, grp int, hashes binary"
+ANSWER = "grp int, bucket int, places binary, codes binary"
+SHARED, HOT = 1, 2
 #: Units that are hashed at once, so that the arrays stay in the processor's cache.
 CHUNK = 200_000
 #: A null doc_id counts as larger than all others.
 NO_ID = np.iinfo(np.int64).max
+#: Files of the table of texts; a file holds whole groups.
+MOST_FILES = 50_000
 
 
 @dataclass(frozen=True)
@@ -44,9 +37,14 @@ class Spec:
     unit: str  # "word" or "byte"
     size: int = 50
     k: int = 25
-    content_bytes: int = 8
-    group_bytes: int = 2 << 20
-    bucket_bytes: int = 12 << 20
+    group_bytes: int = 2 << 20  # grows with the table up to the next
+    most_group_bytes: int = 32 << 20
+    bucket_bytes: int = 4 << 20
+    hot: int = 2000  # groups; what stands around an anchor of more is dealt out window by window
+
+    def __post_init__(self):
+        if not 0 < self.size - self.k < 32:
+            raise ValueError("k must be less than size, by less than 32")
 
 
 def bytes_of(column: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -77,7 +75,7 @@ class Part:
             self.word_start, self.word_stop = start - owner, stop - owner
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])
         self.paths = SuperKmers(units, self.lengths, spec.size, spec.k)
-        self.content = self.paths.content & np.uint64((1 << 8 * spec.content_bytes) - 1)
+        self.content = self.paths.content
         self.owner = ids[self.paths.doc]
 
 
@@ -105,169 +103,94 @@ def least(*keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order, np.cumsum(new) - 1, docs[order][new]
 
 
-class Table:
-    """Distinct keys of a group in a fixed order (bucket, hash, print) with the least doc_id, as sent to the buckets."""
-
-    def __init__(self, hashes: np.ndarray, prints: np.ndarray, docs: np.ndarray, buckets: int):
-        bucket = bucket_of(hashes, buckets)
-        order, group, self.least = least(bucket, hashes, prints, docs=docs)
-        self.of_row = np.empty(len(order), np.int64)
-        self.of_row[order] = group
-        first = np.ones(len(order), dtype=bool)
-        first[1:] = group[1:] != group[:-1]
-        self.hashes, self.prints, self.bucket = hashes[order][first], prints[order][first], bucket[order][first]
-        self.cuts = np.searchsorted(self.bucket, np.arange(buckets + 1))
-
-    def messages(self, grp: int, print_bytes: int) -> pa.RecordBatch:
-        rows: dict[str, list] = {x: [] for x in ("bucket", "grp", "base", "hashes", "prints", "docs")}
-        for b in np.flatnonzero(np.diff(self.cuts)):
-            s = slice(self.cuts[b], self.cuts[b + 1])
-            base = int(self.least[s].min())
-            docs = self.least[s] - base
-            docs = docs.astype(np.uint32) if docs.max(initial=0) < 1 << 32 else docs
-            prints = self.prints[s].view(np.uint8).reshape(-1, 8)[:, :print_bytes]
-            for name, x in zip(rows, (int(b), grp, base, self.hashes[s].tobytes(), prints.tobytes(), docs.tobytes()), strict=True):
-                rows[name].append(x)
-        return pa.RecordBatch.from_pydict(rows, schema=pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("base", pa.int64()), ("hashes", pa.binary()), ("prints", pa.binary()), ("docs", pa.binary())]))
-
-    def codes(self, answers: pa.Table, step: int) -> np.ndarray:
-        """The buckets' answers, by row of this table."""
-        out = np.zeros(len(self.hashes), np.uint8)
-        for row in answers.to_pylist():
-            if row["step"] == step:
-                out[self.cuts[row["bucket"]] + np.frombuffer(row["places"], np.uint32)] = np.frombuffer(row["codes"], np.uint8)
-        return out
-
-
-def resolver(step: int, print_bytes: int) -> Callable[[pa.Table], pa.Table]:
-    """Answers of one bucket: for each key that it was sent, whether a smaller doc_id has it, or its anchor branches."""
-
-    def resolve(table):
-        hashes, prints, docs, sizes = [], [], [], []
-        for h, p, d, base in zip(*(table[c].to_pylist() for c in ("hashes", "prints", "docs", "base")), strict=True):
-            hashes.append(np.frombuffer(h, np.uint64))
-            n = len(hashes[-1])
-            wide = np.zeros((n, 8), np.uint8)
-            wide[:, :print_bytes] = np.frombuffer(p, np.uint8).reshape(n, print_bytes)
-            prints.append(wide.view(np.uint64).ravel())
-            docs.append(np.frombuffer(d, np.uint32 if len(d) == 4 * n else np.int64).astype(np.int64) + base)
-            sizes.append(n)
-        h, p, d = np.concatenate(hashes), np.concatenate(prints), np.concatenate(docs)
-        sender, starts = np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])
-        order = np.argsort(h)  # most hashes are met once; only the others are sorted further
-        twin = np.zeros(len(h), dtype=bool)
-        same = h[order][1:] == h[order][:-1]
-        twin[order[1:][same]] = twin[order[:-1][same]] = True
-        rows = np.flatnonzero(twin)
-        order, group, first = least(h[rows], p[rows], docs=d[rows])
-        rows = rows[order]
-        code = np.where(first[group] < d[rows], KNOWN, 0).astype(np.uint8) if len(rows) else np.zeros(0, np.uint8)
-        if print_bytes and len(rows):
-            new = np.ones(len(rows), dtype=bool)
-            new[1:] = h[rows][1:] != h[rows][:-1]
-            anchor, begin = np.cumsum(new) - 1, np.flatnonzero(new)
-            contents = np.add.reduceat(np.concatenate([[1], (group[1:] != group[:-1]).astype(int)]), begin)
-            contents[1:] -= group[begin[1:]] == group[begin[1:] - 1]
-            mixed = (contents > 1) & (np.minimum.reduceat(d[rows], begin) < np.maximum.reduceat(d[rows], begin))
-            code |= np.where(mixed[anchor], BRANCHING, 0).astype(np.uint8)
-        rows, code = rows[code > 0], code[code > 0]
-        back = np.argsort(rows)
-        rows, code = rows[back], code[back]
-        cuts = np.searchsorted(sender[rows], np.arange(len(sizes) + 1))
-        bucket, out = table["bucket"][0].as_py(), []
-        for i, grp in enumerate(table["grp"].to_pylist()):
-            s = slice(cuts[i], cuts[i + 1])
-            if s.stop > s.start:
-                out.append({"grp": grp, "step": step, "bucket": bucket, "places": (rows[s] - starts[i]).astype(np.uint32).tobytes(), "codes": code[s].tobytes()})
-        return pa.Table.from_pylist(out, schema=pa.schema([("grp", pa.int32()), ("step", pa.int32()), ("bucket", pa.int32()), ("places", pa.binary()), ("codes", pa.binary())]))
+def answers_of(table: pa.Table, cuts: np.ndarray, n: int, kind: type) -> np.ndarray:
+    """The buckets' answers by row of what was sent, of which each bucket got the rows between two cuts."""
+    out = np.zeros(n, kind)
+    for row in table.to_pylist():
+        out[cuts[row["bucket"]] + np.frombuffer(row["places"], np.uint32)] = np.frombuffer(row["codes"], kind)
+    return out
 
-    return resolve
+
+def answer(bucket: int, groups: list[int], sizes: list[int], codes: np.ndarray) -> pa.Table:
+    """What a bucket tells each group: the places, among the rows that the group sent, of codes other than 0."""
+    out, ends = [], np.cumsum(sizes)
+    for grp, n, end in zip(groups, sizes, ends.tolist(), strict=True):
+        mine = codes[end - n : end]
+        places = np.flatnonzero(mine)
+        if len(places):
+            out.append({"grp": grp, "bucket": bucket, "places": places.astype(np.uint32).tobytes(), "codes": mine[places].tobytes()})
+    return pa.Table.from_pylist(out, schema=pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("places", pa.binary()), ("codes", pa.binary())]))
 
 
 class Group:
-    """All documents of one group with what is known of their windows."""
+    """All documents of one group with their super-k-mers, and its distinct anchors in order of bucket."""
 
     def __init__(self, table: pa.Table, spec: Spec, buckets: int):
         self.spec, self.buckets, self.parts = spec, buckets, list(parts(table, spec))
-        none = [np.zeros(0, np.uint64)]
-        owner = np.concatenate([np.zeros(0, np.int64), *(p.owner for p in self.parts)])
-        self.paths = Table(np.concatenate(none + [p.paths.anchor for p in self.parts]), np.concatenate(none + [p.content for p in self.parts]), owner, buckets)
-        self.owner = owner
-
-    def open_paths(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        """By super-k-mer: whether a smaller doc_id has all of it, and whether its windows must be looked at one by one."""
-        code, row = self.paths.codes(answers, 1), self.paths.of_row
-        later = self.owner > self.paths.least[row]
-        known = later | (code[row] & KNOWN > 0)
-        return known, ~known & (code[row] & BRANCHING > 0)
-
-    def windows(self, open_: np.ndarray) -> tuple[list[np.ndarray], Table]:
-        """Windows (by part) of the open super-k-mers, and the table of their hashes."""
-        at, places, hashes, docs = 0, [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for p in self.parts:
-            mine = open_[at : at + len(p.paths.lo)]
-            at += len(p.paths.lo)
-            lo, n = p.paths.lo[mine], p.paths.hi[mine] - p.paths.lo[mine] + 1
-            place = grow(lo, n) if len(lo) else np.zeros(0, np.int64)
-            places.append(place)
-            hashes.append(mix(p.paths.sequence.spans(place, place + self.spec.size)) if len(place) else hashes[0])
-            docs.append(np.repeat(p.owner[mine], n))
-        h = np.concatenate(hashes)
-        return places, Table(h, np.zeros(len(h), np.uint64), np.concatenate(docs), self.buckets)
-
-    def repeated(self, answers: pa.Table) -> Iterator[tuple[Part, np.ndarray]]:
-        """Each part with the places of its windows that also start in a document of smaller doc_id."""
-        known, open_ = self.open_paths(answers)
-        places, table = self.windows(open_)
-        code = table.codes(answers, 2)
-        at = row = 0
-        for p, place in zip(self.parts, places, strict=True):
-            mine = known[at : at + len(p.paths.lo)]
-            at += len(p.paths.lo)
-            of = table.of_row[row : row + len(place)]
-            row += len(place)
-            owner = p.ids[np.searchsorted(p.starts[1:], place, side="right")] if len(place) else place
-            more = place[(owner > table.least[of]) | (code[of] & KNOWN > 0)]
-            yield p, np.concatenate([grow(p.paths.lo[mine], p.paths.hi[mine] - p.paths.lo[mine] + 1) if mine.any() else place[:0], more])
-
-
-def find(docs: DataFrame, spec: Spec, finish: Callable[[Part, np.ndarray], pa.RecordBatch], schema: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One or more rows for each document, made by ``finish(part, windows)`` from the windows of each part that also
-    start in a document of smaller doc_id; ``schema`` is that of its rows."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    groups = max(1, math.ceil(total / spec.group_bytes))
-    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    files = max(min(groups, shuffles), groups // 8)
-    buckets = max(min(groups, shuffles), math.ceil(total / spec.bucket_bytes))
-    path = storage.new_path(spark, "texts")
-    name = path.rpartition("/")[2].replace("-", "_")
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
-    rows.repartition(files, "grp").write.bucketBy(files, "grp").option("path", path).option("compression", "zstd").saveAsTable(name)
-    storage.remove(spark)
-    try:
-        texts = spark.table(name).select("doc_id", "text", "grp").groupBy("grp")
+        self.owner = np.concatenate([np.zeros(0, np.int64), *(p.owner for p in self.parts)])
+        self.anchor = np.concatenate([np.zeros(0, np.uint64), *(p.paths.anchor for p in self.parts)])
+        self.hashes, self.of_row, count = np.unique(self.anchor, return_inverse=True, return_counts=True)
+        bucket = bucket_of(self.hashes, buckets)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.hashes, self.of_row, self.twice = self.hashes[order], place[self.of_row], count[order] > 1
+        self.cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+    def messages(self, grp: int) -> pa.Table:
+        low = self.hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        full = np.flatnonzero(np.diff(self.cuts))
+        return pa.table({"bucket": pa.array(full, pa.int32()), "grp": pa.array([grp] * len(full), pa.int32()), "hashes": pa.array([low[self.cuts[b] : self.cuts[b + 1]].tobytes() for b in full], pa.binary())})
+
+    def codes(self, answers: pa.Table) -> np.ndarray:
+        """SHARED or HOT, or 0, for each super-k-mer of the group."""
+        code = answers_of(answers, self.cuts, len(self.hashes), np.uint8)
+        return np.maximum(code, self.twice * np.uint8(SHARED))[self.of_row]
+
+
+def _shared(hot: int):
+    def resolve(key, table):
+        packed = table["hashes"].to_pylist()
+        sizes = [len(x) // 6 for x in packed]
+        wide = np.zeros((sum(sizes), 8), np.uint8)
+        wide[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
+        _, of, count = np.unique(wide.view("<u8").ravel(), return_inverse=True, return_counts=True)
+        groups = count[of]  # a group sends an anchor once
+        return answer(key[0].as_py(), table["grp"].to_pylist(), sizes, np.where(groups > hot, HOT, np.where(groups > 1, SHARED, 0)).astype(np.uint8))
+
+    return resolve
+
+
+class Dealt:
+    """Texts in groups with the answers about their anchors. ``grouped`` and ``answers`` are grouped by ``grp``; use as a
+    context, at whose end both tables go."""
+
+    def __init__(self, docs: DataFrame, spec: Spec, *, id_col: str, text_col: str):
+        self.spark, self.spec = docs.sparkSession, spec
+        rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+        total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+        groups = max(1, math.ceil(total / min(spec.most_group_bytes, max(spec.group_bytes, total // 4096))))
+        shuffles = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        files = min(MOST_FILES, max(min(groups, shuffles), groups // 8))
+        self.buckets = max(min(groups, shuffles), math.ceil(total / spec.bucket_bytes))
+        self._path = storage.new_path(self.spark, "texts")
+        self._name = self._path.rpartition("/")[2].replace("-", "_")
+        # rows that repeat an id, or have none, need not meet
+        rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(groups)).cast("int"))
+        rows.repartition(files, "grp").write.bucketBy(files, "grp").option("path", self._path).option("compression", "zstd").saveAsTable(self._name)
+        storage.remove(self.spark)
+        self.grouped = self.spark.table(self._name).select("doc_id", "text", "grp").groupBy("grp")
+        buckets = self.buckets
 
         def send(key, table):
-            group = Group(table, spec, buckets)
-            return pa.Table.from_batches([group.paths.messages(key[0].as_py(), spec.content_bytes)])
-
-        def send_windows(key, table, answers):
-            group = Group(table, spec, buckets)
-            return pa.Table.from_batches([group.windows(group.open_paths(answers)[1])[1].messages(key[0].as_py(), 0)])
-
-        def last(key, table, answers):
-            group = Group(table, spec, buckets)
-            return pa.Table.from_batches([finish(p, w) for p, w in group.repeated(answers)])
-
-        one, path1 = storage.written(texts.applyInArrow(send, _MESSAGE).groupBy("bucket").applyInArrow(resolver(1, spec.content_bytes), _ANSWER), "answers1")
-        storage.remove(spark)
-        two, path2 = storage.written(texts.cogroup(one.groupBy("grp")).applyInArrow(send_windows, _MESSAGE).groupBy("bucket").applyInArrow(resolver(2, 0), _ANSWER), "answers2")
-        storage.remove(spark)
-        out, _ = storage.written(texts.cogroup(one.unionByName(two).groupBy("grp")).applyInArrow(last, schema), "repeats")
-        storage.remove(spark, path1, path2)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        storage.remove(spark, path)
-    return out
+            return Group(table, spec, buckets).messages(key[0].as_py())
+
+        self.answers, self._answers = storage.written(self.grouped.applyInArrow(send, _MESSAGE).groupBy("bucket").applyInArrow(_shared(spec.hot), ANSWER), "anchors")
+        storage.remove(self.spark)
+
+    def __enter__(self) -> Dealt:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._name}")
+        storage.remove(self.spark, self._path, self._answers)

@@ -79,12 +79,16 @@ def test_word_spans(docs, rows, empty):
     assert sorted(map(tuple, got), key=str) == want
     assert sum(w[2] for w in want) > 200
     assert debruijn.repeated_spans(empty).count() == 0
+    hot = debruijn.repeated_spans(docs, hot=1).select("doc_id", "n_words", "n_removed", F.size("spans"), "kept_sha256").collect()
+    assert sorted(map(tuple, hot), key=str) == want
 
 
 def test_byte_spans(docs, rows, empty):
     got = lpf.removed_spans(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=str) == without(rows, str.encode, bytes)
     assert lpf.removed_spans(empty).count() == 0
+    hot = lpf.removed_spans(docs, hot=1).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, hot), key=str) == without(rows, str.encode, bytes)
 
 
 def test_texts_lose_whole_characters_only(spark):
@@ -93,6 +97,20 @@ def test_texts_lose_whole_characters_only(spark):
     assert {r.doc_id: r.text for r in lpf.without_repeats(docs).collect()} == {1: "x" + a, 2: "yz"}
 
 
+def test_spans_that_differ_from_their_source(spark):
+    docs = spark.createDataFrame([(1, "a b  c d e"), (2, "b c d")], "doc_id long, text string")
+    paths = spark.createDataFrame([(1, 1, 1, 2)], "src_doc long, path_pos int, piece_pos int, length int")
+    spans = spark.createDataFrame([(1, 1, 0, 3, "b c d"), (1, 1, 0, 3, "b c x"), (1, 1, 1, 2, "c d")], "src_doc long, path_pos int, shift int, words int, text string")
+    assert [tuple(r)[:4] for r in debruijn._differing(docs, spans, paths, 2).collect()] == [(1, 1, 0, 3)]
+
+
+def test_paths_are_glued_across_buckets(spark):
+    """Pieces of 3 edges that share their last edge with the next; one ends in a branch."""
+    pieces = [(7, 2 * i, i > 0, i < 20, 3) for i in range(21)] + [(7, 50, False, True, 4), (7, 53, True, False, 1), (8, 5, True, False, 2)]
+    paths, _ = debruijn._glued(spark.createDataFrame(pieces, "src_doc long, piece_pos int, open_left boolean, open_right boolean, length int"))
+    assert {(r.src_doc, r.piece_pos): r.path_pos for r in paths.collect()} == {(7, 2 * i): 0 for i in range(21)} | {(7, 50): 50, (7, 53): 50, (8, 5): 5}
+
+
 def test_a_crowded_passage(spark):
     passage = " ".join(f"w{i}" for i in range(60))
     docs = spark.createDataFrame([(i, f"a{i} b{i} {passage} c{i}") for i in range(300)], "doc_id long, text string")
