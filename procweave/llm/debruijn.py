@@ -215,7 +215,7 @@ def _marked(group: repeats.Group, walks: Walks, told: pa.Table) -> tuple[list[np
         fresh = np.ones(b - a, bool)
         fresh[1:] = (first[1:] != end[a:b][:-1] - base) | (doc[1:] != doc[:-1]) | (src[o][1:] != src[o][:-1]) | (path[o][1:] != path[o][:-1]) | (pos[o][1:] != pos[o][:-1] + count[a:b][:-1])
         begin = np.flatnonzero(fresh)
-        stop = np.append(begin[1:], b - a) - 1
+        stop = np.append(begin[1:], b - a)[: len(begin)] - 1
         for i, j in zip(begin.tolist(), stop.tolist(), strict=True):
             x, y = int(first[i]), int(first[j] + count[a + j]) + size - 1
             text = b" ".join(p.data[s:t].tobytes() for s, t in zip(p.word_start[x:y].tolist(), p.word_stop[x:y].tolist(), strict=True)).decode("utf-8", "replace")
