@@ -84,7 +84,8 @@ def calibrate(tree: Tree, x: np.ndarray, recall: float, queries: int = 200) -> i
 def search(rows: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, recall: float = 0.99, sample_rows: int = 10_000, branching: int = 8, leaf_rows: int = 64, block_rows: int = 256) -> DataFrame:
     """The ``k`` rows of largest cosine for each query, its own id apart: query_id, rank (from 1), vec_id, score.
 
-    Ties go to the smaller id; with fewer than ``k`` candidates all are returned. Null or zero vectors, those with null
+    Ties go to the smaller id; a vec_id that repeats is one candidate, at its best score, and one query for each of its
+    distinct vectors, of which the best scores count; with fewer than ``k`` candidates all are returned. Null or zero vectors, those with null
     or non-finite components, those of an unusual length and null ids take no part. The tree is fitted on
     about ``sample_rows`` distinct vectors. Other columns are ignored.
     """
@@ -149,7 +150,8 @@ def search(rows: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vecto
 
     near = members.groupBy("leaf", "block").cogroup(sent.groupBy("leaf", "block")).applyInArrow(best, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    near = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # a vec_id that repeats has one rank
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_kmeans_tree(spark, sf_dir: str) -> DataFrame:

@@ -24,6 +24,14 @@ from . import storage
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+
+
+def _words(text: str) -> list[str]:
+    """Runs of letters, in lower case. The pattern also takes numbers that are no digits, such as fractions; they go."""
+    words = _WORD.findall(text.lower())
+    return words if all(map(str.isalpha, words)) else "".join([c if c.isalpha() else " " for c in text.lower()]).split()
+
+
 #: Words remembered by a worker beside the model's own.
 REMEMBERED = 300_000
 
@@ -52,13 +60,13 @@ def fit(labelled: DataFrame, *, rows: int = 20_000, max_words: int = 60_000, max
     total = usable.select(id_col).count()
     share = min(1.0, rows / max(1, total))
     if share < 1:
-        usable = usable.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < int(share * 1_000_000))
+        usable = usable.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 53)) < int(share * (1 << 53)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words: Counter[tuple[str, str]] = Counter()
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                words.update((lang, w) for w in _WORD.findall(text.lower()))
+                words.update((lang, w) for w in _words(text))
             grams: Counter[tuple[str, str]] = Counter()
             for (lang, word), n in words.items():
                 for size in range(1, longest + 1):
@@ -117,7 +125,7 @@ class Scorer:
         return self.nothing
 
     def document(self, text: str) -> tuple[str, float]:
-        words = _WORD.findall(text.lower())
+        words = _words(text)
         if not words or not self.model.languages:
             return UNKNOWN, 0.0
         places = list(map(self.index.get, words))
@@ -151,7 +159,8 @@ def _scorer(model: Model) -> Scorer:
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
     """All columns of the rows and two more (in place of columns of their names): the predicted language and its score
-    (0 to 1); ``und`` with score 0 where text is null or has no letter. Only the text is looked at."""
+    (0 to 1); ``und`` with score 0 where text is null or has no letter. Only the text is looked at, all of it however long;
+    each row is judged by itself, so repeated rows get the same answer, and an empty table an empty one."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most max_words + max_grams rows
     rows = docs.drop(lang_as, score_as)
     names = [*rows.columns, lang_as, score_as]

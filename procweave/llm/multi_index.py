@@ -11,6 +11,7 @@ bounded size, so a crowded cell is many tasks. Blocks return counts and a forest
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -27,15 +28,30 @@ MEMBERS, VISITORS = 512, 4096
 _SENT = "block int, part int, cell int, visits binary, id long, n long, v array<double>"
 
 
+def multi_sequence(first: np.ndarray, second: np.ndarray, most: int) -> list[int]:
+    """The ``most`` cells of least distance in the product of two codebooks, nearest first. Both lists of distances are
+    sorted; from the nearest pair on, a queue holds the next pairs along either list, each once."""
+    one, two = first.argsort(kind="stable").tolist(), second.argsort(kind="stable").tolist()
+    a, b, width = first[one].tolist(), second[two].tolist(), len(second)
+    queue, seen, out = [(a[0] + b[0], 0, 0)], {(0, 0)}, []
+    while queue and len(out) < most:
+        _, i, j = heapq.heappop(queue)
+        out.append(one[i] * width + two[j])
+        for x, y in ((i + 1, j), (i, j + 1)):
+            if x < len(a) and y < len(b) and (x, y) not in seen:
+                seen.add((x, y))
+                heapq.heappush(queue, (a[x] + b[y], x, y))
+    return out
+
+
 def cell_order(x: np.ndarray, first: np.ndarray, second: np.ndarray, most: int) -> np.ndarray:
     """The ``most`` nearest cells of each row of the product grid, nearest first."""
-    half = x.shape[1] // 2
-    d1 = ((first**2).sum(1) - 2 * x[:, :half] @ first.T)[:, :, None]
-    d2 = ((second**2).sum(1) - 2 * x[:, half:] @ second.T)[:, None, :]
-    grid = (d1 + d2).reshape(len(x), -1)
-    most = min(most, grid.shape[1])
-    near = np.argpartition(grid, most - 1, axis=1)[:, :most]
-    return np.take_along_axis(near, np.take_along_axis(grid, near, 1).argsort(axis=1, kind="stable"), 1)
+    half, most = x.shape[1] // 2, min(most, len(first) * len(second))
+    d1 = (first**2).sum(1) - 2 * x[:, :half] @ first.T
+    d2 = (second**2).sum(1) - 2 * x[:, half:] @ second.T
+    if most == 1:
+        return (d1.argmin(axis=1) * len(second) + d2.argmin(axis=1))[:, None]
+    return np.array([multi_sequence(p, q, most) for p, q in zip(d1, d2, strict=True)], np.int64).reshape(len(x), most)
 
 
 def calibrate(sample: np.ndarray, first: np.ndarray, second: np.ndarray, threshold: float, recall: float, seed: int = 11) -> int:
@@ -69,13 +85,14 @@ def links(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     """One row per input row: vec_id, n_links (other vectors at a cosine of at least ``threshold``), component_id (least
     vec_id reachable by links) and kept.
 
-    Null or zero vectors, those with null or non-finite components and those of an unusual length link with nothing;
+    Rows that repeat a vec_id are one vector, however often: a link of either holds for both, and it never links with
+    itself. Null or zero vectors, those with null or non-finite components and those of an unusual length link with nothing;
     a null id stands alone, with component null. Codebooks are fitted on about ``sample_rows`` classes. Other columns
     are ignored.
     """
     spark = rows.sparkSession
     good = vectors.usable(rows, id_col, vector_col)
-    classes, classes_path = storage.written(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "classes")
+    classes, classes_path = storage.written(good.groupBy("v").agg(F.min("id").alias("id"), F.count_distinct("id").alias("n")), "classes")
     fitted = vectors.sample(classes, sample_rows)
     total = classes.count()
     everyone = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))

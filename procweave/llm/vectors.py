@@ -54,6 +54,6 @@ def sample(classes: DataFrame, rows: int) -> np.ndarray:
     """Unit vectors of about ``rows`` classes, chosen by a hash of their ids; the bound holds whatever the size."""
     total = classes.count()
     share = min(1.0, rows / max(1, total))
-    some = classes if share == 1 else classes.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))
+    some = classes if share == 1 else classes.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 53)) < int(share * (1 << 53)))
     v = [r["v"] for r in some.select("id", "v").orderBy("id").limit(2 * rows).collect()]
     return unit(np.array(v)) if v else np.zeros((0, 0))

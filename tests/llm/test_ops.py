@@ -291,11 +291,11 @@ def test_language(spark):
     r = random.Random(1)
     say = {"aa": "abab bcda kral mono tel".split(), "bb": "zuxu wyvo qest jip tel".split()}
     rows = [(i, " ".join(r.choice(say[x]) for _ in range(9)), x) for i, x in enumerate(["aa", "bb"] * 30)]
-    docs = spark.createDataFrame([*rows, (90, None, "aa"), (91, "12 - 3", None), (92, "", "bb"), (93, "monoabab", None)], "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
+    docs = spark.createDataFrame([*rows, (90, None, "aa"), (91, "12 - 3", None), (92, "", "bb"), (94, "½ ² Ⅷ", None), (93, "monoabab", None)], "doc_id long, text string, lang string").withColumn("score", F.lit("x"))
     model = langid.fit(docs)
     got = {x.doc_id: (x.lang_pred, x.score) for x in langid.predict(docs, model).collect()}
     assert all(got[i][0] == x for i, _, x in rows) and all(0 <= s <= 1 for _, s in got.values())
-    assert [got[i] for i in (90, 91, 92)] == [("und", 0.0)] * 3 and got[93][0] == "aa"
+    assert [got[i] for i in (90, 91, 92, 94)] == [("und", 0.0)] * 4 and got[93][0] == "aa"
     assert langid.predict(docs, langid.fit(docs.where("doc_id < 0"))).where("lang_pred != 'und'").count() == 0
     assert [x.h for x in docs.select(langid.held_out(F.col("doc_id")).alias("h")).limit(20).collect()] == [zlib.crc32(str(i).encode()) % 4 == 2 for i in range(20)]
 
@@ -340,6 +340,19 @@ def test_links(embeddings):
     assert multi_index.links(rows.where("vec_id < 0")).count() == 0
 
 
+def test_repeated_vectors(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 2.0])], "vec_id long, embedding array<double>")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in multi_index.links(rows).collect()) == [(1, 0, 1), (1, 0, 1), (2, 1, 2), (3, 1, 2)]
+    assert sorted((r.rank, r.vec_id) for r in kmeans_tree.search(rows, rows.where("vec_id = 2")).collect()) == [(1, 3), (2, 1)]
+
+
+def test_cells_in_order_of_distance():
+    r = np.random.default_rng(8)
+    a, b = r.random(7), r.random(5)
+    grid = (a[:, None] + b).ravel()
+    assert multi_index.multi_sequence(a, b, 35) == grid.argsort().tolist() and multi_index.multi_sequence(a, b, 3) == grid.argsort()[:3].tolist()
+
+
 def test_tree_search(embeddings):
     rows, x = embeddings
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
