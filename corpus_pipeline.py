@@ -26,10 +26,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least doc_id of each group of near copies (five words, 0.8); of rows that repeat a doc_id
-    one stays, and rows without one are kept."""
+    """Keep the document of least doc_id of each group of near copies (five words, 0.8); rows that repeat a
+    doc_id are one document, of which each distinct text stays once, and rows without one are kept."""
     kept = minhash_forest.near_duplicates(docs).where("kept").select("doc_id")
-    one = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    one = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
@@ -59,7 +59,9 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs, _ = storage.written(stage(spark, docs, sf_dir), name)
+        docs, path = storage.written(stage(spark, docs, sf_dir), name)
+        storage.remove(spark, *before)
+        before = [path]
     return docs
