@@ -44,9 +44,10 @@ def parent_at_start(processes: DataFrame) -> DataFrame:
 
 def levels(processes: DataFrame, scope: Sequence[str]) -> DataFrame:
     """Level and path (pids from the root) of every process (scope, pid, ppid; one row each). Each round joins one more
-    generation and is checkpointed; it stops when no process has children left, as a path never meets a process twice."""
+    generation and is checkpointed; it stops when no process has children left, as a path never meets a process twice.
+    Processes that no root leads to (their own parents, or in a ring of parents) have neither level nor path."""
     ensure_checkpoints(processes.sparkSession)
-    nodes = processes.select(*scope, "pid", "ppid").distinct()
+    nodes = processes.select(*scope, "pid", "ppid").distinct().checkpoint()
     at = nodes.join(nodes.select(*scope, F.col("pid").alias("ppid")), [*scope, "ppid"], "left_anti").select(*scope, "pid", F.lit(0).alias("level"), F.array("pid").alias("path"))
     out, level = at, 0
     while True:
@@ -55,13 +56,14 @@ def levels(processes: DataFrame, scope: Sequence[str]) -> DataFrame:
         if at.isEmpty():
             break
         out, level = out.unionByName(at), level + 1
-    return out
+    rest = nodes.join(out, [*scope, "pid"], "left_anti").select(*scope, "pid", F.lit(None).cast("int").alias("level"), F.lit(None).cast(out.schema["path"].dataType).alias("path"))
+    return out.unionByName(rest)
 
 
 def subtree(processes: DataFrame, seeds: DataFrame, scope: Sequence[str]) -> DataFrame:
     """All processes reached from the seeds (scope, pid) by parent links."""
     ensure_checkpoints(processes.sparkSession)
-    nodes = processes.select(*scope, "pid", "ppid").distinct()
+    nodes = processes.select(*scope, "pid", "ppid").distinct().checkpoint()
     found = seeds.select(*scope, "pid").distinct()
     new = found
     while True:

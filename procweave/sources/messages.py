@@ -54,8 +54,10 @@ def _records(kind: str, body: str) -> Iterator[dict]:
                 at += 1
             for i, name in enumerate(_TAIL[kind]):
                 end = b"\n" if i + 1 == len(_TAIL[kind]) else b","
-                row[name] = int(upto(end) if end in raw[at:] else raw[at:])
-                at = at if end in raw[at - 1 :] else len(raw)
+                if raw.find(end, at) < 0:  # the last line may lack its end
+                    row[name], at = int(raw[at:]), len(raw)
+                else:
+                    row[name] = int(upto(end))
         except ValueError:
             return
         yield row

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +18,12 @@ def hourly(rows: DataFrame, path: str) -> None:
 
 
 def good_and_bad(rows: DataFrame, code: Column, good: str, bad: str) -> None:
-    """Good rows, and rejected ones with the check that they failed, from one plan."""
-    coded = rows.withColumn("bad_code", code)
+    """Good rows, and rejected ones with the check that they failed; the rows are computed once and kept, on disk where
+    memory lacks, for both writes."""
+    coded = rows.withColumn("bad_code", code).persist(StorageLevel.MEMORY_AND_DISK)
     coded.where("bad_code = 0").drop("bad_code").write.parquet(good)
     coded.where("bad_code > 0").write.parquet(bad)
+    coded.unpersist()
 
 
 def summaries(tables: Mapping[str, DataFrame], path: str) -> None:

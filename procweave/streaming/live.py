@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -12,10 +13,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 SILENCE_MS, FRESH_MS = 3_600_000, 300_000
 
 
-def _stateful(rows: DataFrame, key: Sequence[str], work, schema: str, names: Sequence[str]) -> DataFrame:
-    """``work(previous, rows in time order) -> (rows to emit, new previous)`` for each key; keys silent for an hour end."""
+def _stateful(rows: DataFrame, key: Sequence[str], work, schema: str, names: Sequence[str], late: str = "1 hour", silence_ms: int = SILENCE_MS) -> DataFrame:
+    """``work(previous, rows in time order) -> (rows to emit, new previous)`` for each key. Time is that of the records:
+    rows older than the watermark (``late`` behind the newest record) are left out, and a key ends when the watermark has
+    passed its last record by ``silence_ms``. So a stream over finished input ends, and gives the same rows again."""
     columns, width = list(rows.columns), len(rows.columns)
     order = [c for c in ("recTime", "recTimeUSec", "event_id") if c in columns]
+    timed = rows.withColumn("__at", F.timestamp_seconds("recTime")).withWatermark("__at", late)
 
     def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -24,14 +28,15 @@ def _stateful(rows: DataFrame, key: Sequence[str], work, schema: str, names: Seq
             out = work(last, None)[0]
         else:
             new = pd.concat(list(frames)).sort_values(order)
-            out, last = work(state.get if state.exists else None, new)
+            until = int(new["recTime"].max()) * 1000 + silence_ms
+            out, last = work(state.get if state.exists else None, new[columns])
             state.update(tuple(last))
-            state.setTimeoutDuration(SILENCE_MS)
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
         if out:
             yield pd.DataFrame(out, columns=list(names))
 
     state = ", ".join(f"c{i} {t.dataType.simpleString()}" for i, t in zip(range(width), rows.schema.fields, strict=True))
-    return rows.groupBy(*key).applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return timed.groupBy(*key).applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def collapse(rows: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
@@ -75,7 +80,8 @@ def rates(rows: DataFrame, key: Sequence[str], counters: Sequence[str]) -> DataF
 
 
 def join_identity(stat: DataFrame, data: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Samples with the identity record of the same process and time; both sides have an event time ``ts``."""
+    """Samples with the identity record of the same process and time; both sides have an event time ``ts``. Rows
+    at or before the watermark, which starts at the epoch, are late and left out."""
     a = stat.withWatermark("ts", late).alias("a")
     b = data.select("host", "pid", "startTime", "recTime", "exePath", "cmdArgs", F.col("ts").alias("data_ts")).withWatermark("data_ts", late).alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("host", "pid", "startTime", "recTime")]
@@ -101,13 +107,25 @@ def ingest(stream: DataFrame, path: str, checkpoint: str):
     return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date", "hour").trigger(availableNow=True).start()
 
 
-def fresh(rows: DataFrame, most_age: str = "60 seconds") -> DataFrame:
-    """Only the last records of each key within ``most_age`` of the watermark: older state is given up."""
-    return rows.withWatermark("ts", most_age).dropDuplicatesWithinWatermark(["host", "pid", "startTime"])
+def fresh(rows: DataFrame, key: Sequence[str] = ("host", "pid", "startTime"), most_age: int = 60) -> DataFrame:
+    """The newest record of each key, sent again whenever a newer one comes; records more than ``most_age`` seconds behind
+    the newest of the stream are left out, and a key that is silent for that long is forgotten."""
+    columns = list(rows.columns)
+    at = columns.index("recTime")
+
+    def work(before, new):
+        if new is None:
+            return [], None
+        last = next(new.tail(1).itertuples(index=False, name=None))
+        return ([last], last) if before is None or last[at] >= before[at] else ([], before)
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return _stateful(rows, key, work, schema, columns, f"{most_age} seconds", most_age * 1000)
 
 
 def by_topic(rows: DataFrame, host: str = "*", identifier: str = "*", subidentifier: str = "*") -> DataFrame:
+    """Rows whose topic fits; each part is a word or a pattern in which ``*`` stands for any text."""
     for column, wanted in (("host", host), ("identifier", identifier), ("subidentifier", subidentifier)):
-        if wanted != "*":
-            rows = rows.where(F.col(column) == wanted)
+        if wanted.strip("*"):
+            rows = rows.where(F.col(column).rlike("^" + ".*".join(re.escape(x) for x in wanted.split("*")) + "$") if "*" in wanted else F.col(column) == wanted)
     return rows
