@@ -36,11 +36,14 @@ def attach_user(processes: DataFrame, users: DataFrame, uid: str = "realUid", un
     return processes.join(names, F.col(uid) == F.col("__uid"), "left").drop("__uid").withColumn("user", F.coalesce("user", other))
 
 
-def with_records(jobs: DataFrame, records: DataFrame) -> DataFrame:
-    """Records of each job: same host, identifier and subidentifier, taken between the job's start and end."""
-    j, r = jobs.alias("j"), records.alias("r")
-    same = (F.col("j.host") == F.col("r.host")) & (F.col("j.job") == F.col("r.identifier")) & (F.col("j.task") == F.col("r.subidentifier"))
-    return j.join(r, same & F.col("r.recTime").between(F.col("j.start"), F.col("j.end")))
+def with_records(jobs: DataFrame, records: DataFrame, slot: int = 21_600) -> DataFrame:
+    """Records of each job: same host, identifier and subidentifier, taken between the job's start and end. Both sides
+    also meet by time slots of ``slot`` seconds, so jobs that share a name and a host do not meet all records of either."""
+    slots = F.explode(F.sequence(F.floor(F.col("start") / slot), F.floor(F.col("end") / slot)))
+    j = jobs.where("start <= end").withColumn("__slot", slots).alias("j")
+    r = records.withColumn("__slot", F.floor(F.col("recTime") / slot)).alias("r")
+    same = (F.col("j.host") == F.col("r.host")) & (F.col("j.job") == F.col("r.identifier")) & (F.col("j.task") == F.col("r.subidentifier")) & (F.col("j.__slot") == F.col("r.__slot"))
+    return j.join(r, same & F.col("r.recTime").between(F.col("j.start"), F.col("j.end"))).drop(F.col("j.__slot"), F.col("r.__slot"))
 
 
 def all_jobs(running: DataFrame, finished: DataFrame, start: int, end: int, longest_queue: int) -> DataFrame:

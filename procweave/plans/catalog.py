@@ -696,9 +696,9 @@ def sc8_connection_text(spark, d):
     return rows.groupBy("c.protocol", "c.localPort", "c.remoteAddress").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT inode, {_IP('la')} AS ip FROM netstat WHERE host = 'h0'")
+@query(f"SELECT inode, {_IP('la')} AS ip FROM netstat")
 def sc9_ipv4(spark, d):
-    return fx.netstat(spark, d).where("host = 'h0'").select("inode", text.ipv4(F.col("local_address")).alias("ip"))
+    return fx.netstat(spark, d).select("inode", text.ipv4(F.col("local_address")).alias("ip"))
 
 
 @query("SELECT event_id, round(recTime + recTimeUSec / 1e6, 6) AS t FROM procstat")

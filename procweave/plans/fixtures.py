@@ -105,7 +105,7 @@ def hours(spark: SparkSession, d: str) -> DataFrame:
 
 def job_intervals(spark: SparkSession, d: str) -> DataFrame:
     start = (whole(F.col("o_orderkey") * 7919 % 2592000) + 1704067200).cast("long")
-    return table(spark, d, "orders").where("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("job_row"), F.concat(F.lit("h"), (F.col("o_custkey") % 5).cast("string")).alias("host"), F.concat(F.lit("j"), (F.col("o_custkey") % 7).cast("string")).alias("job"), F.lit("1").alias("task"), start.alias("start"), (start + F.col("o_orderkey") % 20 * 3600).alias("end"))
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("job_row"), F.concat(F.lit("h"), (F.col("o_custkey") % 5).cast("string")).alias("host"), F.concat(F.lit("j"), (F.col("o_custkey") % 7).cast("string")).alias("job"), F.lit("1").alias("task"), start.alias("start"), (start + F.col("o_orderkey") % 20 * 3600).alias("end"))
 
 
 def _case(values: tuple[str, ...]) -> str:
@@ -162,7 +162,7 @@ WITH RECURSIVE ev AS (
   SELECT DISTINCT strftime(date_trunc('hour', ts), '%Y%m%d%H') AS path, date_trunc('hour', ts) AS recording_start, hour(ts) AS n_writes FROM events WHERE hour(ts) % 5 != 3
 ), job_intervals AS (
   SELECT o_orderkey AS job_row, 'h' || (o_custkey % 5) AS host, 'j' || (o_custkey % 7) AS job, '1' AS task, o_orderkey * 7919 % 2592000 + 1704067200 AS start,
-    o_orderkey * 7919 % 2592000 + 1704067200 + o_orderkey % 20 * 3600 AS stop FROM orders WHERE o_orderkey % 50 = 0
+    o_orderkey * 7919 % 2592000 + 1704067200 + o_orderkey % 20 * 3600 AS stop FROM orders
 ), series AS (
   SELECT *, recTime + recTimeUSec / 1e6 AS t, lag(recTime + recTimeUSec / 1e6) OVER w AS t0, utime + stime - lag(utime + stime) OVER w AS dcpu, io_wchar - lag(io_wchar) OVER w AS dw, io_rchar - lag(io_rchar) OVER w AS dr,
     coalesce(utime >= lag(utime) OVER w, true) AS undamaged FROM procstat WINDOW w AS (PARTITION BY host, startTime, pid ORDER BY recTime, recTimeUSec, event_id)
