@@ -38,8 +38,8 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 LOWER_BYTES = BYTES[_LOWER]
 SKETCH = 128  # minhashes with 2 bits each
-BLOCK = 512  # members of a crowd, on either side, that meet in one group
-COLUMNS = 8192  # shingles of two blocks that are counted at once
+BLOCK = 256  # members of a crowd, on either side, that meet in one group
+COLUMNS = 4096  # shingles of two blocks that are counted at once
 
 
 @dataclass(frozen=True)

@@ -39,7 +39,7 @@ class Spec:
     k: int = 25
     group_bytes: int = 2 << 20  # grows with the table up to the next
     most_group_bytes: int = 32 << 20
-    bucket_bytes: int = 4 << 20
+    bucket_bytes: int = 2 << 20
     hot: int = 2000  # groups; what stands around an anchor of more is dealt out window by window
 
     def __post_init__(self):
