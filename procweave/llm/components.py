@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from . import storage
@@ -17,7 +17,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = edges.sparkSession
     ends = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     now, path = storage.written(ends.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct(), "edges")
-    before = None
+
+    def state() -> Row:
+        return now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+
+    before = state()
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least, least_path = storage.written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "least")
@@ -26,9 +30,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         new, new_path = storage.written(small, "edges")
         storage.remove(spark, path, least_path, large_path, low_path)
-        state = new.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         now, path = new, new_path
-        if state == before:
+        if (after := state()) == before:
             break
-        before = state
+        before = after
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

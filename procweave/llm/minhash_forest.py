@@ -291,6 +291,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
+def _joined(known: DataFrame, path: str, links: DataFrame) -> tuple[DataFrame, str]:
+    """Components (id, component) and their table once more links are added: what was connected enters as stars, and without
+    new links it stays as it is."""
+    if links.isEmpty():
+        return known, path
+    stars = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    out, out_path = storage.written(components(stars.unionByName(links)), "components")
+    storage.remove(known.sparkSession, path)
+    return out, out_path
+
+
 def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (least doc_id reachable by links) and kept.
 
@@ -322,16 +333,12 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     rest = ranked.where("place > 2").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b"))
     more, more_path = storage.written(_confirmed(rest, sets, spec), "links")
-    links = sure.unionByName(more)
-    linked, linked_path = storage.written(components(links), "components")
-    storage.remove(spark)
+    linked, linked_path = _joined(known, known_path, more)
     late, late_path = storage.written(_crowd_links(crowd, nodes, sets, linked, spec), "links")
-    if not late.isEmpty():
-        storage.remove(spark, linked_path)
-        linked, linked_path = storage.written(components(links.unionByName(late)), "components")
+    linked, linked_path = _joined(linked, linked_path, late)
     classes = nodes.join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("n_shingles", "low", "high", F.coalesce("component", "doc_id").alias("component"))
     classes, classes_path = storage.written(classes, "classes")
-    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, known_path, more_path, late_path, linked_path, *candidate_paths)
+    storage.remove(spark, nodes_path, sets_path, ranked_path, sure_path, more_path, late_path, linked_path, *candidate_paths)
     out = signed.select("doc_id", "n_shingles", "low", "high").join(classes, ["n_shingles", "low", "high"], "left")
     component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
