@@ -292,13 +292,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, spec: Spec) -> DataFrame:
 
 
 def _joined(known: DataFrame, path: str, links: DataFrame) -> tuple[DataFrame, str]:
-    """Components (id, component) and their table once more links are added: what was connected enters as stars, and without
-    new links it stays as it is."""
+    """Components (id, component) and their table once more links are added: these connect components, so only the graph of
+    components is worked on; without links all stays as it is."""
     if links.isEmpty():
         return known, path
-    stars = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    out, out_path = storage.written(components(stars.unionByName(links)), "components")
-    storage.remove(known.sparkSession, path)
+    spark = links.sparkSession
+    of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b"))
+    moved, moved_path = components(ends)
+    new = moved.join(known, "id", "left_anti").select("id", F.col("id").alias("component"))
+    to = moved.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    all_ids = known.unionByName(new).join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    out, out_path = storage.written(all_ids, "components")
+    storage.remove(spark, path, moved_path)
     return out, out_path
 
 
@@ -328,7 +334,7 @@ def near_duplicates(docs: DataFrame, spec: Spec = Spec(), *, id_col: str = "doc_
     ranked, ranked_path = storage.written(pairs.withColumn("place", best), "ranked")
     sure, sure_path = storage.written(_confirmed(ranked.where("place <= 2"), sets, spec).distinct(), "links")
     storage.remove(spark)
-    known, known_path = storage.written(components(sure), "components")
+    known, known_path = components(sure)
     of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
     rest = ranked.where("place > 2").join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b"))

@@ -153,10 +153,10 @@ def links(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     columns = (*keys, "home", "visits", "id", "n", "v")
     found, found_path = storage.written(members.select(*columns).groupBy(*keys).cogroup(visitors.select(*columns).groupBy(*keys)).applyInArrow(verify, "id long, links long, to long"), "links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    linked = components(found.where(F.col("id") != F.col("to")), "id", "to")
+    linked, linked_path = components(found.where(F.col("id") != F.col("to")), "id", "to")
     result = classes.join(counts, "id", "left").join(linked, "id", "left").select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     result, _ = storage.written(result, "classes")
-    storage.remove(spark, classes_path, located_path, found_path)
+    storage.remove(spark, classes_path, located_path, found_path, linked_path)
     out = everyone.join(result, "v", "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.when(F.col("vec_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
