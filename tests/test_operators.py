@@ -90,7 +90,7 @@ def test_adhoc_wants_a_condition(spark):
 
 def test_cycles_end(spark):
     rows = spark.createDataFrame([("h", 1, 2), ("h", 2, 1), ("h", 3, 0), ("h", 4, 3)], "host string, pid long, ppid long")
-    assert {(r.pid, r.level) for r in tree.levels(rows, ["host"]).collect()} == {(3, 0), (4, 1)}
+    assert {(r.pid, r.level) for r in tree.levels(rows, ["host"]).collect()} == {(1, None), (2, None), (3, 0), (4, 1)}
     assert {r.pid for r in tree.subtree(rows, rows.where("pid = 1"), ["host"]).collect()} == {1, 2}
 
 
