@@ -11,7 +11,7 @@ DATA = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark", "labels"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     return c
 
