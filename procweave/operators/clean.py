@@ -37,6 +37,31 @@ def limit_fds(procfd: DataFrame, most: int = 10) -> DataFrame:
     return procfd.where(F.col("fd").between(3, 2 + most))
 
 
+# The columns whose change keeps a record of each type. procdata also compares the length of cmdArgs, which
+# cmdArgs itself implies.
+COMPARED = {
+    "procstat": ("pid", "ppid", "state", "realUid", "effUid", "realGid", "effGid", "utime", "stime", "priority", "vsize", "rss", "rsslim", "delayacctBlkIOTicks", "vmpeak", "rsspeak", "guestTime", "io_rchar", "io_wchar", "io_syscr", "io_syscw", "io_readBytes", "io_writeBytes"),
+    "procdata": ("pid", "ppid", "startTime", "startTimeUSec", "cmdArgs", "exePath", "cwdPath"),
+    "procfd": ("pid", "ppid", "startTime", "startTimeUSec", "path", "fd", "mode"),
+}
+COLLAPSE_KEYS = {"procstat": ("host", "pid"), "procdata": ("host", "pid"), "procfd": ("host", "pid", "fd")}
+
+
+def compared(kind: str, columns: Sequence[str], strict_reference: bool = False) -> tuple[str, ...]:
+    """Columns of a table that the collapse of its type compares. procstat's own comparison leaves out startTime, so that a
+    pid used again with equal counters would go on a run; it is added unless ``strict_reference``."""
+    names = COMPARED[kind] if strict_reference or "startTime" in COMPARED[kind] else (*COMPARED[kind], "startTime")
+    return tuple(c for c in names if c in columns)
+
+
+def collapse_records(rows: DataFrame, kind: str, strict_reference: bool = False) -> DataFrame:
+    """``collapse`` by the key, comparison and order of a record type (netstat, and other types: every row stays)."""
+    if kind not in COMPARED:
+        return rows
+    order = [c for c in ("recTime", "recTimeUSec", "event_id") if c in rows.columns]
+    return collapse(rows, COLLAPSE_KEYS[kind], compared(kind, rows.columns, strict_reference), order)
+
+
 def match_any(rows: DataFrame, column: str, patterns: Sequence[str]) -> DataFrame:
     hit = F.lit(False)
     for p in patterns:

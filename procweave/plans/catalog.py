@@ -13,6 +13,7 @@ from ..schemas import PROCESS, TIME
 from ..sources import messages, tables
 from ..streaming import live
 from . import fixtures as fx
+from . import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -767,3 +768,7 @@ def str4_latest(spark, d):
 def str6_stat_with_data(spark, d):
     data = fx.procdata(spark, d).select(*PROCESS, *TIME, "exePath")
     return fx.procstat(spark, d).join(data, [*PROCESS, *TIME]).select("event_id", "utime", "exePath")
+
+
+QUERIES |= streams.QUERIES
+ORACLE_SQL |= streams.ORACLE_SQL

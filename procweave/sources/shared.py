@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -15,3 +16,9 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     if not folder and not (spark.sparkContext.master + "[").startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp"))
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder that the driver and all executors share."""
+    ensure_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"

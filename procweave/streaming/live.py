@@ -1,92 +1,87 @@
-"""Live views of the record streams: collapse of repeats, rates, latest batches, joins and feed counts."""
+"""Live views of the record streams: collapse of repeats, rates, latest batches, joins and feed counts.
+
+What needs state of a process over time (``collapse``, ``rates``, ``join_identity``) works in order of record times; see
+``ordered``. Streams have the columns of the record tables, ``recTime`` in seconds among them."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-SILENCE_MS, FRESH_MS = 3_600_000, 300_000
-
-
-def _stateful(rows: DataFrame, key: Sequence[str], work, schema: str, names: Sequence[str], late: str = "1 hour", silence_ms: int = SILENCE_MS) -> DataFrame:
-    """``work(previous, rows in time order) -> (rows to emit, new previous)`` for each key. Time is that of the records:
-    rows older than the watermark (``late`` behind the newest record) are left out, and a key ends when the watermark has
-    passed its last record by ``silence_ms``. So a stream over finished input ends, and gives the same rows again."""
-    columns, width = list(rows.columns), len(rows.columns)
-    order = [c for c in ("recTime", "recTimeUSec", "event_id") if c in columns]
-    timed = rows.withColumn("__at", F.timestamp_seconds("recTime")).withWatermark("__at", late)
-
-    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            last = state.get
-            state.remove()
-            out = work(last, None)[0]
-        else:
-            new = pd.concat(list(frames)).sort_values(order)
-            until = int(new["recTime"].max()) * 1000 + silence_ms
-            out, last = work(state.get if state.exists else None, new[columns])
-            state.update(tuple(last))
-            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-        if out:
-            yield pd.DataFrame(out, columns=list(names))
-
-    state = ", ".join(f"c{i} {t.dataType.simpleString()}" for i, t in zip(range(width), rows.schema.fields, strict=True))
-    return timed.groupBy(*key).applyInPandasWithState(step, schema, state, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def collapse(rows: DataFrame, key: Sequence[str], compare: Sequence[str]) -> DataFrame:
-    """The last row of each run of equal rows: emitted when the next differs, or when the key falls silent."""
-    columns = list(rows.columns)
-    at = [columns.index(c) for c in compare]
-
-    def work(before, new):
-        if new is None:
-            return [before], None
-        out, last = [], before
-        for row in new.itertuples(index=False, name=None):
-            if last is not None and [last[i] for i in at] != [row[i] for i in at]:
-                out.append(last)
-            last = row
-        return out, last
-
-    return _stateful(rows, key, work, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields), columns)
-
-
-def rates(rows: DataFrame, key: Sequence[str], counters: Sequence[str]) -> DataFrame:
-    """Key, time and the change per second of each counter since the sample before, for all samples but the first."""
-    columns = list(rows.columns)
-    at = {c: columns.index(c) for c in (*key, "recTime", *counters)}
-
-    def work(before, new):
-        if new is None:
-            return [], None
-        out, last = [], before
-        for row in new.itertuples(index=False, name=None):
-            gap = row[at["recTime"]] - last[at["recTime"]] if last is not None else 0
-            if gap > 0:
-                out.append([*[row[at[k]] for k in key], row[at["recTime"]], *[(row[at[c]] - last[at[c]]) / gap for c in counters]])
-            last = row
-        return out, last
 
+from ..operators import clean
+from ..sources import messages
+from . import ordered
+
+#: Seconds: a silent process is forgotten, a job's last batch leaves the live view, an hour's state is dropped.
+SILENCE, FRESH, HOUR = 3600, 300, 3600
+
+
+def collapse(rows: DataFrame, key: Sequence[str], compare: Sequence[str], *, within: Sequence[str] = (), reset: int | None = HOUR, silence: int = SILENCE, late: str = "1 hour") -> DataFrame:
+    """The last row of each run of equal rows, by key and, in it, by ``within``: sent when the next row differs, and at the
+    latest when ``reset`` seconds (an hour) are over, at which all keys start anew. Without ``reset`` it is sent when the
+    key has been silent. On finished input these are the rows of ``clean.collapse`` by key, ``within`` and hour."""
+    schema, kinds = ordered.ddl(rows), dict(rows.dtypes)
+    made = ordered.Collapse(schema, rows.columns, [(c, kinds[c]) for c in within], compare, reset, silence)
+    return ordered.run(rows, key, made, schema, late)
+
+
+def collapse_descriptors(procfd: DataFrame, most: int = 10, **options) -> DataFrame:
+    """Descriptors of a process, each collapsed on its own in the state of the process; those of standard input and output,
+    and beyond the limit of a process, are left out."""
+    rows = clean.limit_fds(procfd, most)
+    return collapse(rows, ("host", "pid"), clean.compared("procfd", rows.columns), within=("fd",), **options)
+
+
+def rates(rows: DataFrame, key: Sequence[str], counters: Sequence[str], *, silence: int = SILENCE, late: str = "1 hour") -> DataFrame:
+    """Key, time and the change per second of each counter since the sample before, for all samples but the first of a key
+    and the first after a silence. Counters that fall have negative rates."""
     kinds = dict(rows.dtypes)
-    names = [*key, "recTime", *[f"{c}_rate" for c in counters]]
-    schema = ", ".join([*[f"{k} {kinds[k]}" for k in key], "recTime long", *[f"{c}_rate double" for c in counters]])
-    return _stateful(rows, key, work, schema, names)
+    times = ["recTime long", *(["recTimeUSec long"] if "recTimeUSec" in kinds else [])]
+    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in key], *times, *[f"`{c}_rate` double" for c in counters]])
+    return ordered.run(rows, key, ordered.Rates(ordered.ddl(rows), rows.columns, key, counters, silence), schema, late)
+
+
+def join_identity(stat: DataFrame, data: DataFrame, key: Sequence[str] = ("host", "pid", "startTime"), bring: Sequence[str] = ("exePath", "cmdArgs"), *, silence: int = SILENCE, late: str = "1 hour") -> DataFrame:
+    """The newest sample of a process with its newest identity record, whenever both are of the same second: one row for a
+    process and second. The two streams are worked on as one, so its watermark is that of the newest record of either."""
+    kinds = dict(data.dtypes)
+    times = [c for c in ("recTime", "recTimeUSec", "event_id") if c in stat.columns and c in kinds]
+    own = [c for c in stat.columns if c not in bring]
+    a = stat.select(*own, *[F.lit(None).cast(kinds[c]).alias(c) for c in bring], F.lit(0).alias("side"))
+    b = data.select(*[F.col(c) if c in key or c in times else F.lit(None).cast(t).alias(c) for c, t in stat.dtypes if c in own], *bring, F.lit(1).alias("side"))
+    both = a.unionByName(b)
+    out = both.drop("side")
+    return ordered.run(both, key, ordered.Newest(ordered.ddl(both), both.columns, out.columns, own, bring, silence), ordered.ddl(out), late)
 
 
-def join_identity(stat: DataFrame, data: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Samples with the identity record of the same process and time; both sides have an event time ``ts``. Rows
-    at or before the watermark, which starts at the epoch, are late and left out."""
-    a = stat.withWatermark("ts", late).alias("a")
-    b = data.select("host", "pid", "startTime", "recTime", "exePath", "cmdArgs", F.col("ts").alias("data_ts")).withWatermark("data_ts", late).alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("host", "pid", "startTime", "recTime")]
-    on = same[0] & same[1] & same[2] & same[3] & (F.col("a.ts") == F.col("b.data_ts"))
-    return a.join(b, on).select("a.*", "b.exePath", "b.cmdArgs")
+def cache(rows: DataFrame, key: Sequence[str] = ("host", "identifier", "subidentifier"), member: Sequence[str] = ("pid", "startTime"), counters: Sequence[str] = (), state: str | None = None, *, timeout: int = FRESH, late: str | None = None, mode: str = "update") -> DataFrame:
+    """The live cache as a stream of updates: the newest batch of each key (its rows of the newest second), sent again when a
+    newer one comes. Beside the row stand the change of each counter (``_delta``) and of the time (``dt``) since the
+    member's row in the batch before, ``since`` when its ``state`` has been the same, and ``gone``: true for members that
+    the newer batch lacks, and for all of a key of which nothing has come for ``timeout`` seconds of record time."""
+    schema, kinds = ordered.ddl(rows), dict(rows.dtypes)
+    out = ", ".join([schema, *[f"`{c}_delta` {kinds[c]}" for c in counters], "dt long, since long, gone boolean"])
+    return ordered.run(rows, key, ordered.Cache(schema, rows.columns, member, counters, state, timeout), out, late or f"{timeout} seconds", mode)
+
+
+def view(updates: DataFrame, key: Sequence[str] = ("host", "identifier", "subidentifier"), member: Sequence[str] = ("pid", "startTime")) -> DataFrame:
+    """What the cache shows now, from its updates with the ``batch`` that brought them: the last word on each member, if that
+    is not that it has gone."""
+    last = updates.groupBy(*key, *member).agg(F.max_by(F.struct(*[c for c in updates.columns if c not in (*key, *member)]), F.struct("batch", "gone")).alias("__last"))
+    return last.select(*key, *member, "__last.*").where(~F.col("gone")).select(*updates.columns).drop("batch", "gone")
+
+
+def keep_updates(updates: DataFrame, path: str, checkpoint: str):
+    """Write the updates of a cache, each batch to a folder of its own, which a batch that is done again replaces; returns the
+    query, which ends when the input does."""
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    return updates.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def feed_counts(rows: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -95,11 +90,16 @@ def feed_counts(rows: DataFrame, late: str = "1 hour") -> DataFrame:
     return rows.groupBy(F.window("ts", "1 hour").alias("w"), "host", "type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("hour"), "host", "type", "n")
 
 
-def latest(rows: DataFrame, key: Sequence[str], now: int, most_age: int = FRESH_MS // 1000) -> DataFrame:
+def latest(rows: DataFrame, key: Sequence[str], now: int, most_age: int = FRESH) -> DataFrame:
     """The newest record time of each key, without keys older than ``most_age`` seconds: the batch form of the live cache."""
     return rows.groupBy(*key).agg(F.max("recTime").alias("recTime"), F.count("*").alias("n")).where(F.col("recTime") >= now - most_age)
 
 
+def ingest_messages(topics: DataFrame, kind: str, path: str, checkpoint: str):
+    """``ingest`` of the records of one type in a stream of messages (topic, value)."""
+    return ingest(messages.procstat(topics) if kind == "procstat" else messages.texts(topics, kind), path, checkpoint)
+
+
 def ingest(stream: DataFrame, path: str, checkpoint: str):
     """Write a stream of records to Parquet by date and hour of their time; returns the query, which ends when the input does."""
     at = F.timestamp_seconds("recTime")
@@ -110,17 +110,7 @@ def ingest(stream: DataFrame, path: str, checkpoint: str):
 def fresh(rows: DataFrame, key: Sequence[str] = ("host", "pid", "startTime"), most_age: int = 60) -> DataFrame:
     """The newest record of each key, sent again whenever a newer one comes; records more than ``most_age`` seconds behind
     the newest of the stream are left out, and a key that is silent for that long is forgotten."""
-    columns = list(rows.columns)
-    at = columns.index("recTime")
-
-    def work(before, new):
-        if new is None:
-            return [], None
-        last = next(new.tail(1).itertuples(index=False, name=None))
-        return ([last], last) if before is None or last[at] >= before[at] else ([], before)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return _stateful(rows, key, work, schema, columns, f"{most_age} seconds", most_age * 1000)
+    return cache(rows, key, (), timeout=most_age, mode="append").where(~F.col("gone")).select(*rows.columns)
 
 
 def by_topic(rows: DataFrame, host: str = "*", identifier: str = "*", subidentifier: str = "*") -> DataFrame:

@@ -135,29 +135,6 @@ def test_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == spark.read.parquet(str(tmp_path / "sum/s")).count() == 2
 
 
-def test_streamed_collapse_and_rates(spark, tmp_path):
-    rows = [("h", 1, t, t, v) for t, v in enumerate([1, 1, 2, 2, 3], 100)]
-    frame = spark.createDataFrame(rows, "host string, pid long, recTime long, event_id long, v long")
-    for i in range(100, 105):
-        frame.where(F.col("recTime") == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    for name, out in (("c", live.collapse(stream, ["host", "pid"], ["v"])), ("r", live.rates(stream, ["host", "pid"], ["v"]))):
-        out.writeStream.format("memory").queryName(name).outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start().awaitTermination()
-    # the last row of a run leaves when the next one comes
-    assert sorted(r.recTime for r in spark.table("c").collect()) == [101, 103]
-    assert sorted((r.recTime, r.v_rate) for r in spark.table("r").collect()) == [(101, 0.0), (102, 1.0), (103, 0.0), (104, 1.0)]
-
-
-def test_streamed_join_and_counts(spark, tmp_path):
-    rows = spark.sql("SELECT timestamp_seconds(id + 10) AS ts, 'h' AS host, id AS pid, 0L AS startTime, id AS recTime, 'a' AS exePath, 'b' AS cmdArgs, 't' AS type FROM range(5)")
-    rows.write.parquet(str(tmp_path / "in"))
-    stream = lambda: spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    joined = live.join_identity(stream().select("ts", "host", "pid", "startTime", "recTime"), stream())
-    joined.writeStream.format("memory").queryName("j").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "j")).start().awaitTermination()
-    assert spark.table("j").count() == 5
-    assert live.feed_counts(rows).first()["n"] == 5
-
-
 def test_stream_to_hourly_tables(spark, tmp_path):
     rows = spark.sql("SELECT 'h' AS host, id AS pid, 0L AS startTime, 86400 + id * 1800 AS recTime, timestamp_seconds(86400 + id * 1800) AS ts FROM range(4)")
     rows.write.parquet(str(tmp_path / "in"))
@@ -166,21 +143,6 @@ def test_stream_to_hourly_tables(spark, tmp_path):
     assert {(r.pid, r.hour) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {(0, 0), (1, 0), (2, 1), (3, 1)}
 
 
-def test_silent_keys_and_fresh_records(spark, tmp_path):
-    """The last run of a key leaves when the watermark has passed it by an hour; a fresh view keeps the newest of each key."""
-    schema = "host string, pid long, startTime long, recTime long, v long"
-    parts = [[("h", 1, 0, 100, 5), ("h", 1, 0, 130, 6), ("h", 2, 0, 131, 7)], [("h", 1, 0, 20_000, 6), ("h", 3, 0, 120, 9)], [("h", 3, 0, 40_000, 1)]]
-    for i, part in enumerate(parts):
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / f"in/part={i}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
-    for name, out in (("sc", live.collapse(stream, ["host", "pid"], ["v"])), ("sf", live.fresh(stream))):
-        out.writeStream.format("memory").queryName(name).trigger(availableNow=True).option("checkpointLocation", str(tmp_path / name)).start().awaitTermination()
-    ended = {(r.pid, r.recTime, r.v) for r in spark.table("sc").collect()}
-    assert {(1, 100, 5), (2, 131, 7), (1, 20_000, 6)} <= ended and all(r[1] != 40_000 for r in ended)
-    newest = {(r.pid, r.recTime) for r in spark.table("sf").collect()}
-    assert {(1, 130), (2, 131), (1, 20_000), (3, 40_000)} <= newest and (1, 100) not in newest
-
-
 def test_topics(spark):
     rows = spark.createDataFrame([("h1", "a", "x"), ("h2", "a.b", "x"), ("g1", "a", "y")], "host string, identifier string, subidentifier string")
     assert [live.by_topic(rows, **k).count() for k in ({}, {"host": "h*"}, {"host": "*1"}, {"identifier": "a"}, {"host": "h*", "subidentifier": "y"})] == [3, 2, 2, 2, 0]
