@@ -113,7 +113,7 @@ def signatures(rows: DataFrame, spec: Spec) -> DataFrame:
                 full = sizes > 0
                 m = _minhashes(hashes, sizes, seeds)
                 keys = m[:, : spec.trees * spec.depth].astype(">u2")
-                bits = (m[:, spec.trees * spec.depth :] & 3).astype(np.uint8).reshape(len(m), -1, 4)
+                bits = (m[:, spec.trees * spec.depth :] & 3).astype(np.uint8).reshape(len(m), (m.shape[1] - spec.trees * spec.depth) // 4, 4)
                 sketch = bits[:, :, 0] | bits[:, :, 1] << 2 | bits[:, :, 2] << 4 | bits[:, :, 3] << 6
                 starts = (np.cumsum(sizes) - sizes)[full]
                 sums = [np.zeros(len(ids), np.uint64) for _ in range(2)]
