@@ -85,8 +85,8 @@ def links(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     """One row per input row: vec_id, n_links (other vectors at a cosine of at least ``threshold``), component_id (least
     vec_id reachable by links) and kept.
 
-    Rows that repeat a vec_id are one vector, however often: a link of either holds for both, and it never links with
-    itself. Null or zero vectors, those with null or non-finite components and those of an unusual length link with nothing;
+    Rows that repeat a vec_id are one vector, however often: a link of either holds for both, and equal ones never link with
+    each other. If they hold different vectors, these are of one component, and n_links is the sum over them. Null or zero vectors, those with null or non-finite components and those of an unusual length link with nothing;
     a null id stands alone, with component null. Codebooks are fitted on about ``sample_rows`` classes. Other columns
     are ignored.
     """
@@ -153,15 +153,31 @@ def links(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embeddi
     columns = (*keys, "home", "visits", "id", "n", "v")
     found, found_path = storage.written(members.select(*columns).groupBy(*keys).cogroup(visitors.select(*columns).groupBy(*keys)).applyInArrow(verify, "id long, links long, to long"), "links")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    linked, linked_path = components(found.where(F.col("id") != F.col("to")), "id", "to")
+    shared = _shared_ids(good, classes)
+    links_ = found.where(F.col("id") != F.col("to")).select("id", "to")
+    if shared is not None:
+        links_ = links_.unionByName(shared.select(F.col("class").alias("id"), F.col("first").alias("to")).where("id != to"))
+    linked, linked_path = components(links_, "id", "to")
     result = classes.join(counts, "id", "left").join(linked, "id", "left").select("v", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
     result, _ = storage.written(result, "classes")
     storage.remove(spark, classes_path, located_path, found_path, linked_path)
     out = everyone.join(result, "v", "left")
+    if shared is not None:
+        sums = shared.join(result, "v").groupBy(F.col("id").alias("vec_id")).agg(F.sum("n_links").alias("all_links"), F.min("component").alias("all"))
+        out = out.join(sums, "vec_id", "left").withColumns({"n_links": F.coalesce("all_links", "n_links"), "component": F.coalesce("all", "component")})
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
     return out.select("vec_id", F.when(F.col("vec_id").isNull(), F.lit(0)).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
 
 
+def _shared_ids(good: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """id, v, class and the id's first class for ids that have several vectors; none if there is no such id."""
+    several = good.select("id", F.xxhash64("v").alias("h")).distinct().groupBy("id").count().where("count > 1").select("id")
+    if several.isEmpty():
+        return None
+    own = good.select("id", "v").join(several, "id", "left_semi").distinct().join(classes.select("v", F.col("id").alias("class")), "v")
+    return storage.written(own.join(own.groupBy("id").agg(F.min("class").alias("first")), "id"), "shared")[0]
+
+
 #: The same rows from all pairs.
 OP8_SQL = """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
