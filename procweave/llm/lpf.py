@@ -205,23 +205,25 @@ def removed_spans(docs: DataFrame, *, size: int = 50, k: int = 25, hot: int = 20
 def _cleaned(size: int):
     def finish(part: repeats.Part, windows: np.ndarray) -> pa.RecordBatch:
         gone = covered(len(part.data), windows, size)
-        texts = []
+        texts, digests = [], []
         for a, b in zip(part.starts[:-1].tolist(), part.starts[1:].tolist(), strict=True):
             raw, cut = part.data[a:b], gone[a:b]
+            digests.append(hashlib.sha256(raw.tobytes()).hexdigest())
             if cut.any():
                 # a character goes only if all its bytes do
                 char = np.cumsum(raw & 0xC0 != 0x80) - 1
                 whole = np.bincount(char, weights=~cut) == 0
                 raw = raw[~whole[char]]
             texts.append(raw.tobytes().decode("utf-8", "replace"))
-        return pa.RecordBatch.from_pydict({"doc_id": pa.array(part.ids, pa.int64(), mask=part.ids == repeats.NO_ID), "text": pa.array(texts, pa.string())})
+        return pa.RecordBatch.from_pydict({"doc_id": pa.array(part.ids, pa.int64(), mask=part.ids == repeats.NO_ID), "text": pa.array(texts, pa.string()), "text_sha256": pa.array(digests, pa.string())})
 
     return finish
 
 
 def without_repeats(docs: DataFrame, *, size: int = 50, k: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and text of every row, without the characters that lie wholly in removed spans (see ``removed_spans``)."""
-    return find(docs, repeats.Spec("byte", size, k), _cleaned(size), "doc_id long, text string", id_col=id_col, text_col=text_col)
+    """doc_id and text of every row, without the characters that lie wholly in removed spans (see ``removed_spans``), and
+    text_sha256 (hex) of the text before that, which tells rows of one doc_id apart."""
+    return find(docs, repeats.Spec("byte", size, k), _cleaned(size), "doc_id long, text string, text_sha256 string", id_col=id_col, text_col=text_col)
 
 
 #: The same rows from all windows of all documents; bytes are written as pairs of hexadecimal digits.

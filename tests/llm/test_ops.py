@@ -346,6 +346,12 @@ def test_repeated_vectors(spark):
     assert sorted((r.rank, r.vec_id) for r in kmeans_tree.search(rows, rows.where("vec_id = 2")).collect()) == [(1, 3), (2, 1)]
 
 
+def test_ids_with_several_vectors(spark):
+    one = spark.createDataFrame([(5, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [0.0, 1.0]), (8, [0.0, 1.0]), (9, [-1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in multi_index.links(one).collect())
+    assert got == [(5, 1, 5, True), (7, 2, 5, False), (7, 2, 5, False), (8, 1, 5, False), (9, 0, 9, True)]
+
+
 def test_cells_in_order_of_distance():
     r = np.random.default_rng(8)
     a, b = r.random(7), r.random(5)

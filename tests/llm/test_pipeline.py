@@ -34,3 +34,14 @@ def test_stages(spark, tmp_path):
         got.setdefault(r.doc_id, {})[r.start] = np.frombuffer(r.ids, "<u4").tolist()
     whole = {i: sum((x[k] for k in sorted(x)), []) for i, x in got.items()}
     assert whole == {i: [*t.encode(k.text, add_special_tokens=False).ids, 2] for i, k in kept.items()}
+
+
+def test_rows_that_repeat_an_id(spark):
+    """Each distinct text of an id stays one row beside its own columns; of equal texts the least row stays."""
+    a, b = ("".join(chr(97 + (i * k) % 26) for i in range(200)) for k in (3, 7))
+    rows = [(1, a, "x", "s1", 0), (1, b, "y", "s2", 0), (1, b, "y", "s0", 0), (2, None, "x", "s", 0), (None, a, "z", "s", 0), (3, a[:60] + "!", "x", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("source != 's2'").collect()))
+    cut = {(r.doc_id, r.source): (r.text, r.n_chars) for r in corpus_pipeline.remove_repeats(spark, docs, "").collect()}
+    assert cut == {(1, "s1"): (a, 200), (1, "s2"): (b, 200), (1, "s0"): (b, 200), (2, "s"): ("", 0), (None, "s"): (a, 0), (3, "s"): ("!", 1)}
