@@ -26,18 +26,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of least doc_id of each group of near copies (five words, 0.8); rows that repeat a
-    doc_id are one document, of which each distinct text stays once, and rows without one are kept."""
+    """Keep the document of least doc_id of each group of near copies (five words, 0.8). Rows that repeat a doc_id are one
+    document, of which each distinct text stays once, with the least of its other columns; rows without one are kept."""
     kept = minhash_forest.near_duplicates(docs).where("kept").select("doc_id")
-    one = docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text")
+    one = rows.agg(F.min(F.struct(*rest)).alias("__rest")).select("doc_id", "text", "__rest.*").select(*docs.columns)
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove passages of at least 50 bytes that a document of smaller doc_id has too; n_chars follows. Rows
-    without a doc_id stay as they are."""
-    texts = lpf.without_repeats(docs.where(F.col("doc_id").isNotNull()))
-    joined = docs.drop("text", "n_chars").join(texts, "doc_id")
+    """Remove passages of at least 50 bytes that a document of smaller doc_id has too; n_chars follows. A row is known by its
+    doc_id and the digest of its text, so each stays beside its own columns. Rows without a doc_id stay as they are."""
+    texts = lpf.without_repeats(docs.where(F.col("doc_id").isNotNull())).dropDuplicates(["doc_id", "text_sha256"])
+    keyed = docs.withColumn("text_sha256", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
+    joined = keyed.drop("text", "n_chars").join(texts, ["doc_id", "text_sha256"])
     out = joined.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
     return out.unionByName(docs.where(F.col("doc_id").isNull()))
 
