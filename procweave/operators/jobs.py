@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.shared import ensure_checkpoints
+from ..sources.sinks import host_group
 
 
 def one_per_key(rows: DataFrame, key: Sequence[str], order: str, last: bool = True) -> DataFrame:
@@ -46,6 +48,34 @@ def with_records(jobs: DataFrame, records: DataFrame, slot: int = 21_600) -> Dat
     return j.join(r, same & F.col("r.recTime").between(F.col("j.start"), F.col("j.end"))).drop(F.col("j.__slot"), F.col("r.__slot"))
 
 
+def wanted_parts(jobs: DataFrame, files: DataFrame, hosts: int = 0) -> DataFrame:
+    """Parts (date, hour and, with ``hosts``, the group of the job's host) of the hourly tables that hold a file (recording_start,
+    recording_stop as timestamps) which overlaps a job's interval. Jobs and files meet by the hours that they touch."""
+    hour = lambda x: F.floor(x / 3600)
+    touched = lambda a, b: F.explode(F.sequence(hour(a), hour(b)))
+    j = jobs.where("start <= end").select("host", "start", "end", touched(F.col("start"), F.col("end")).alias("__hour"))
+    seconds = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    f = files.select(seconds("recording_start").alias("__start"), seconds("recording_stop").alias("__stop"))
+    f = f.withColumn("__hour", touched(F.col("__start"), F.col("__stop")))
+    both = j.join(f, "__hour").where((F.col("__start") <= F.col("end")) & (F.col("__stop") >= F.col("start")))
+    at = F.timestamp_seconds(F.col("__hour") * 3600)
+    group = [host_group(F.col("host"), hosts).alias("hosts")] if hosts else []
+    return both.select(F.date_format(at, "yyyyMMdd").alias("date"), F.hour(at).alias("hour"), *group).distinct()
+
+
+def with_stored_records(jobs: DataFrame, stored: DataFrame, files: DataFrame, *, hosts: int = 0, most: int = 1_000_000, slot: int = 3600) -> DataFrame:
+    """``with_records`` of a table that is stored by date and hour (``sinks.hourly``), of which only parts that can matter are read:
+    those of ``wanted_parts`` are sent to the scan, which drops all other parts before it opens a file. There are at most as
+    many as the table has parts; beyond ``most`` they are not broadcast and the scan is not pruned. ``stored`` must read
+    date as text."""
+    parts = ["date", "hour", *(["hosts"] if hosts else [])]
+    wanted = wanted_parts(jobs, files, hosts)
+    ensure_checkpoints(jobs.sparkSession)
+    wanted = wanted.checkpoint()
+    near = stored.join(F.broadcast(wanted.where("hour >= 0")) if wanted.count() <= most else wanted, parts, "left_semi")
+    return with_records(jobs, near.drop(*parts), slot)
+
+
 def all_jobs(running: DataFrame, finished: DataFrame, start: int, end: int, longest_queue: int) -> DataFrame:
     """Running jobs and those finished in a window widened by a day back and the longest queue time ahead; no task is task 1."""
     window = finished.where((F.col("start") >= start - 86_400) & (F.col("start") <= end + longest_queue))
@@ -64,9 +94,11 @@ def shares(processes: DataFrame, job: Sequence[str] = ("identifier",)) -> DataFr
     return joined.withColumns({"start_pct": part(F.col("startTime") - F.col("job_start")), "duration_pct": part(F.col("recTime") - F.col("startTime"))})
 
 
-def coverage(records: DataFrame, kind: str, by: Sequence[str] = ("identifier", "host")) -> DataFrame:
+def coverage(records: DataFrame, kind: str, by: Sequence[str] = ("identifier", "host"), per_source: str | None = None) -> DataFrame:
     """First and last time, distinct times, distinct processes and largest gap of the records of a kind. Times are made
-    distinct before the window, so that only they are sorted."""
+    distinct before the window, so that only they are sorted. ``per_source``: a column (the file of a record) by which the
+    table is covered too, so that a time that two files have counts in both."""
+    by = (*by, per_source) if per_source else by
     counts = records.groupBy(*by).agg(F.min("recTime").alias("first_time"), F.max("recTime").alias("last_time"), F.count_distinct("recTime").alias("n_times"), F.count_distinct("pid", "startTime").alias("n_processes"))
     w = Window.partitionBy(*by).orderBy("recTime")
     gaps = records.select(*by, "recTime").distinct().withColumn("gap", F.col("recTime") - F.lag("recTime").over(w)).groupBy(*by).agg(F.coalesce(F.max("gap"), F.lit(0)).alias("largest_gap"))
@@ -96,8 +128,30 @@ def rate_from_start(procstat: DataFrame, key: Sequence[str], order: Sequence[str
     return procstat.withColumn("cpu_rate", F.try_divide((cpu - F.coalesce(F.lag(cpu).over(w), F.lit(0))) / 100.0, (F.col("recTime") - before).cast("double")))
 
 
-def nested(records: DataFrame, job: Sequence[str] = ("identifier",)) -> DataFrame:
-    """One row per process of a job with its samples in an array, for JSON output. A job's processes are rows too, so that
-    no job is gathered in one place."""
-    sample = F.struct("recTime", "recTimeUSec", "utime", "stime", "m_resident")
-    return records.groupBy(*job, "host", "startTime", "pid").agg(F.sort_array(F.collect_list(sample)).alias("ps"))
+#: Columns of the three arrays of a process in a job report.
+NESTED = {
+    "ps": ("recTime", "recTimeUSec", "state", "utime", "stime", "priority", "numThreads", "vsize", "rss", "rsslim", "vmpeak", "rsspeak", "io_rchar", "io_wchar", "io_readBytes", "io_writeBytes", "m_size", "m_resident", "m_share", "m_text", "m_data"),
+    "fd": ("recTime", "fd", "path", "mode"),
+    "obs": ("recTime", "recTimeUSec"),
+}
+
+
+def nested(samples: DataFrame, files: DataFrame | None = None, observations: DataFrame | None = None, key: Sequence[str] = ("host", "startTime", "pid")) -> DataFrame:
+    """One row per process that any of the record tables has, with its samples (``ps``), files (``fd``) and observations (``obs``)
+    in arrays in order of time, for JSON output by job. The tables are put together and meet in one shuffle by process; a
+    job's processes are rows too, so that no job is gathered in one place. Of the columns in ``NESTED`` those are taken that
+    a table has; a process takes the least job that its records name."""
+    tables = {name: t for name, t in (("ps", samples), ("fd", files), ("obs", observations)) if t is not None}
+    kinds = {name: F.struct(*[c for c in NESTED[name] if c in t.columns]) for name, t in tables.items()}
+    types = {name: t.select(kinds[name].alias("s")).schema["s"].dataType for name, t in tables.items()}
+    job = ("identifier", "subidentifier")
+
+    def part(name: str, t: DataFrame) -> DataFrame:
+        named = [F.col(c) if c in t.columns else F.lit(None).cast("string").alias(c) for c in job]
+        return t.select(*key, *named, *[(kinds[n] if n == name else F.lit(None).cast(types[n])).alias(n) for n in tables])
+
+    both = None
+    for name, t in tables.items():
+        both = part(name, t) if both is None else both.unionByName(part(name, t))
+    out = both.groupBy(*key).agg(F.min(F.when(F.col("identifier").isNotNull(), F.struct(*job))).alias("__job"), *[F.sort_array(F.collect_list(n)).alias(n) for n in tables])
+    return out.select(F.col("__job.identifier").alias("identifier"), F.col("__job.subidentifier").alias("subidentifier"), *key, *tables)

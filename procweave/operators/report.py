@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import ensure_checkpoints
 from .workload import axes
 
 #: The fifteen groupings of the daily report.
@@ -86,6 +87,38 @@ def adhoc(rows: DataFrame, declare: Sequence[tuple[str, str]], where: str, selec
     return rows.where(where).select(*[F.expr(e).alias(label) for label, e in select])
 
 
+def numbered(rows: DataFrame, order: Sequence[str | Column], name: str = "place") -> DataFrame:
+    """Rows with their gapless number from 1 in an order that should be total. They are sorted by ranges and kept at that (a
+    checkpoint), so numbers need only the sizes of the partitions, one row each."""
+    ensure_checkpoints(rows.sparkSession)
+    kept = rows.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()).checkpoint()
+    part = F.shiftright("__at", 33)
+    sizes = sorted((r["part"], r["count"]) for r in kept.groupBy(part.alias("part")).count().collect())
+    starts, at = [], 1
+    for number, size in sizes:
+        starts.append((number, at))
+        at += size
+    first = rows.sparkSession.createDataFrame(starts, "__part long, __start long")
+    return kept.withColumn("__part", part).join(first, "__part").withColumn(name, F.col("__start") + F.col("__at").bitwiseAND((1 << 33) - 1)).drop("__part", "__start", "__at")
+
+
+#: Sort keys of the live view and the columns that they mean.
+LIVE_KEYS = {
+    "duration": "duration", "vmem": "vsize", "rss": "rss", "host": "host", "user": "user", "cpu": "cpu_rate", "mpi_rank": "mpi_rank", "pid": "pid", "ppid": "ppid", "threads": "numThreads", "io_read": "io_rchar", "io_write": "io_wchar", "age": "age",
+}
+
+
+def ranking(rows: DataFrame, key: str, n: int, ascending: bool = False, ties: Sequence[str] = ("host", "startTime", "pid")) -> DataFrame:
+    """The first ``n`` rows of the live view by one of its keys (see ``LIVE_KEYS``) with their ``rank``; rows without a value come
+    last either way. Each task keeps its best ``n``, so no more than that is sorted in one place."""
+    if key not in LIVE_KEYS:
+        raise ValueError(f"not a key of the view: {key}; keys are {', '.join(LIVE_KEYS)}")
+    value = F.col(LIVE_KEYS[key])
+    best = rows.orderBy(value.asc_nulls_last() if ascending else value.desc_nulls_last(), *ties).limit(n)
+    w = Window.orderBy(value.asc_nulls_last() if ascending else value.desc_nulls_last(), *ties)  # over n rows
+    return best.withColumn("rank", F.row_number().over(w))
+
+
 def wrong_host(rows: DataFrame, host: str, expected: str) -> DataFrame:
     return rows.where(F.col(host) != F.col(expected)).groupBy(expected).agg(F.count("*").alias("n"))
 

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scripts, text
-from ..schemas import PROCESS, TIME
+from ..schemas import PROCESS, PROCSTAT_FIELDS, TIME
 
+#: What a summary carries over from the latest undamaged sample: all 41 fields but the process, its parent and the times.
+CARRIED = tuple(n for n, _ in PROCSTAT_FIELDS if n not in ("pid", "ppid", "recTime", "recTimeUSec", "startTime", "startTimeUSec"))
 
 
 def series(procstat: DataFrame, key: Sequence[str] = PROCESS, order: Sequence[str] = TIME) -> DataFrame:
@@ -49,9 +51,11 @@ def correlation(a: str, b: str, centre: str = "mean") -> Column:
     return F.when(n >= 2, F.try_divide(num, F.sqrt(F.sum(x * x) + (n - 2) * sx * sx) * F.sqrt(F.sum(y * y) + (n - 2) * sy * sy)))
 
 
-def summarize(procstat: DataFrame, carry: Sequence[str] = ("utime", "stime", "io_rchar", "io_wchar", "numThreads", "state"), key: Sequence[str] = PROCESS, centre: str = "mean", order: Sequence[str] = TIME) -> DataFrame:
+def summarize(procstat: DataFrame, carry: Sequence[str] | None = None, key: Sequence[str] = PROCESS, centre: str = "mean", order: Sequence[str] = TIME) -> DataFrame:
     """The latest undamaged sample of each process with its record count, largest rates, cpu time, duration and the ten
-    correlations. The window and the aggregate share one shuffle by process."""
+    correlations. The window and the aggregate share one shuffle by process. ``carry``: columns of that sample, by default
+    those of ``CARRIED`` that the table has; what a query does not use is not read."""
+    carry = [c for c in CARRIED if c in procstat.columns] if carry is None else carry
     rows = series(procstat, key, order)
     at = F.struct(*order)
     last = F.max_by(F.struct("recTime", "recTimeUSec", "ppid", "identifier", "subidentifier", *carry), F.when(F.col("undamaged"), at))

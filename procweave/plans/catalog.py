@@ -13,7 +13,7 @@ from ..schemas import PROCESS, TIME
 from ..sources import messages, tables
 from ..streaming import live
 from . import fixtures as fx
-from . import streams
+from . import records, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -770,5 +770,5 @@ def str6_stat_with_data(spark, d):
     return fx.procstat(spark, d).join(data, [*PROCESS, *TIME]).select("event_id", "utime", "exePath")
 
 
-QUERIES |= streams.QUERIES
-ORACLE_SQL |= streams.ORACLE_SQL
+QUERIES |= records.QUERIES | streams.QUERIES
+ORACLE_SQL |= records.ORACLE_SQL | streams.ORACLE_SQL

@@ -76,6 +76,25 @@ def texts(messages: DataFrame, kind: str) -> DataFrame:
     return rows.mapInPandas(parse, _SCHEMAS[kind])
 
 
+def losses(messages: DataFrame, kind: str) -> DataFrame:
+    """What the parsers leave out: for each message its topic, how many records it says that it holds (``said``, null without a
+    header), how many are ``read``, and ``lost``, those that were broken or stood behind a broken one."""
+    rows = messages.withColumn("t", text.topic(F.col("topic"))).where(F.col("t.type") == kind).select("topic", "value")
+    said = F.regexp_extract("value", r"^nRecords=([0-9]+)\n", 1).try_cast("bigint")
+    if kind == "procstat":
+        cells = lambda line: F.split(line, ",")
+        good = F.filter(F.slice(F.split("value", "\n"), F.lit(2), F.size(F.split("value", "\n"))), lambda x: (F.size(cells(x)) == len(PROCSTAT_FIELDS)) & F.get(cells(x), 0).try_cast("bigint").isNotNull())
+        counted = rows.select("topic", said.alias("said"), F.size(good).cast("long").alias("read"))
+    else:
+
+        def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield frame[["topic", "said"]].assign(read=[sum(1 for _ in _records(kind, v or "")) for v in frame["value"]])
+
+        counted = rows.withColumn("said", said).mapInPandas(count, "topic string, said long, read long")
+    return counted.withColumn("lost", F.when(F.col("said").isNotNull(), F.greatest(F.col("said") - F.col("read"), F.lit(0))))
+
+
 def render(records: DataFrame, kind: str) -> DataFrame:
     """Records as one message per host, job and second: topic and value."""
     number = lambda c: F.col(c).cast("string")

@@ -25,12 +25,16 @@ def jobs(spark: SparkSession, path: str, columns: int) -> DataFrame:
     return rows
 
 
-def overlapping(files: DataFrame, start, end) -> DataFrame:
-    """Files (path, recording_start) that overlap [start, end]. A file ends a second before the next one starts, the last
-    one after an hour. The catalogue has a row per file, so one sorted pass is small."""
+def intervals(files: DataFrame) -> DataFrame:
+    """Files (path, recording_start) with ``recording_stop``: a second before the next one starts, an hour after the start for
+    the last one. The catalogue has a row per file, so one sorted pass is small."""
     following = F.lead("recording_start").over(Window.orderBy("recording_start", "path"))
-    stop = F.coalesce(following - F.expr("INTERVAL 1 SECOND"), F.col("recording_start") + F.expr("INTERVAL 1 HOUR"))
-    return files.withColumn("recording_stop", stop).where((F.col("recording_start") <= end) & (F.col("recording_stop") >= start))
+    return files.withColumn("recording_stop", F.coalesce(following - F.expr("INTERVAL 1 SECOND"), F.col("recording_start") + F.expr("INTERVAL 1 HOUR")))
+
+
+def overlapping(files: DataFrame, start, end) -> DataFrame:
+    """Files that overlap [start, end]; see ``intervals``."""
+    return intervals(files).where((F.col("recording_start") <= end) & (F.col("recording_stop") >= start))
 
 
 def by_date_in_name(paths: DataFrame, pattern: str, first: str, last: str, fmt: str = "yyyyMMdd") -> DataFrame:
