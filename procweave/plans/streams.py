@@ -66,7 +66,7 @@ def _coarse(spark, d) -> DataFrame:
     return rows.select("event_id", "host", "pid", "ppid", *TIME, "startTime", "state", "realUid", *steps)
 
 
-_COARSE = "SELECT event_id, host, pid, recTime, recTimeUSec, startTime, state, realUid, ppid, utime // 20000 AS utime, stime // 2000 AS stime, io_rchar // 4000000 AS io_rchar, io_wchar // 4000000 AS io_wchar FROM procstat"
+_COARSE = "SELECT event_id, host, pid, recTime, recTimeUSec, startTime, state, realUid, ppid, CAST(floor(utime / 20000.0) AS BIGINT) AS utime, stime // 2000 AS stime, io_rchar // 4000000 AS io_rchar, io_wchar // 4000000 AS io_wchar FROM procstat"
 _FIELDS = "(ppid, state, realUid, utime, stime, io_rchar, io_wchar, startTime)"
 _KEPT = f"SELECT event_id, host, pid, recTime, state, utime FROM (SELECT *, lead({_FIELDS}) OVER w AS later, lead(1) OVER w AS has FROM ({_COARSE}) WINDOW w AS (PARTITION BY host, pid{{hour}} ORDER BY recTime, recTimeUSec, event_id)) WHERE has IS NULL OR later IS DISTINCT FROM {_FIELDS}"
 
