@@ -201,18 +201,26 @@ def candidates(nodes: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame, tupl
 
 def _crowd_links(crowd: DataFrame, nodes: DataFrame, sets: DataFrame, known: DataFrame, spec: Spec) -> DataFrame:
     """Links a > b that connect members of a crowd which ``known`` (id, component) leaves apart: of each pair of blocks
-    a forest of all such links. A crowd that is one component already costs nothing."""
+    a forest of all such links. Members of a crowd's largest component do not meet each other, only those outside it
+    do, and each of these meets all others: so work grows with members times outsiders, and a crowd that is one component
+    costs nothing."""
     rows = crowd.join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    runs = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    members = rows.join(runs.select("run", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "run").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # every pair of blocks meets once: a member goes to as many groups as its crowd has blocks
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    sent = members.withColumn("other", other).select("run", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "doc_id", "component")
-    full = sent.join(nodes.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+    parts = rows.groupBy("run", "component").agg(F.count("*").alias("n"))
+    runs = parts.groupBy("run").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("main")).where(F.col("all") > F.col("main.n"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    runs = runs.select("run", F.col("main.component").alias("main"), blocks(F.col("all")).alias("blocks"), blocks(F.col("all") - F.col("main.n")).alias("outer"))
+    members = rows.join(runs, "run").join(nodes.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+    # a group is a block of outsiders against a block of all; an outsider is in both
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    own, outer = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("outer")).cast("int")
+    as_member = F.transform(upto(F.col("outer")), lambda o: F.struct(o.alias("one"), own.alias("two"), F.lit(False).alias("out")))
+    as_outsider = F.transform(upto(F.col("blocks")), lambda b: F.struct(outer.alias("one"), b.alias("two"), F.lit(True).alias("out")))
+    places = F.when(F.col("component") == F.col("main"), as_member).otherwise(F.concat(as_member, as_outsider))
+    full = members.select("run", "doc_id", "component", "sketch", "shingles", F.explode(places).alias("at")).select("run", "at.*", "doc_id", "component", "sketch", "shingles")
 
     def compare(key, table):
-        block = table["block"].to_numpy()
-        left, right = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        out = table["out"].to_numpy()
+        left, right = np.flatnonzero(out), np.flatnonzero(~out)
         doc, component = table["doc_id"].to_numpy(), table["component"].to_numpy()
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(doc), -1)
         sizes = np.array([len(x) // 8 for x in table["shingles"].to_pylist()], np.int64)
