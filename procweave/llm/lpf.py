@@ -1,17 +1,16 @@
 """Substring dedup over bytes by longest-previous-factor arrays.
 
 A byte goes if a suffix that starts at most ``size - 1`` bytes before it, and in the same document, has a previous factor
-(a match in a document of smaller id) of at least ``size`` bytes. Only that bound matters, so suffixes are ordered
-to a depth of ``size`` bytes:
+(a match in a document of smaller id) of at least ``size`` bytes. Only that bound matters, so suffixes are ordered, and their
+common prefixes counted, to a depth of ``size`` bytes:
 
 1. Suffixes whose anchor (see ``winnow``) no other document has cannot have a previous factor; ``repeats`` finds the others.
 2. Runs of the others under one anchor travel as the bytes they stand on, each distinct one once for a group, to the
    anchor's bucket. So equal suffixes meet, and a bucket sees every suffix that could lie next to another in the order.
-3. A bucket orders the runs by their bytes. A run that an earlier document has too is known; where an anchor has several
-   runs, their suffixes are ordered by ``size`` bytes and then by document. Neighbours in this order with a common
-   prefix of ``size`` bytes form intervals of the suffix array, and since an interval is ordered by document, the previous
-   smaller value of each suffix is its first: the longest previous factor reaches ``size`` unless the suffix is of that
-   document itself.
+3. A bucket keeps one of equal runs, that of the least document; its later copies have previous factors throughout. The
+   suffixes of all runs are ordered by their bytes alone, and beside the suffix array stands the common prefix of each
+   with the one before it. The nearest suffixes of a smaller document on either side are found by jumping pointers; the
+   longest previous factor is the larger of the two least common prefixes on the way there.
 4. The group gets one bit for each suffix and removes later copies.
 
 All comparisons are of bytes; hashes only choose buckets and, within one group, tell equal runs (128 bits).
@@ -111,6 +110,52 @@ def _bytes(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.
     return [words[np.minimum(start + i, len(words) - 1)] & _UPTO[np.clip(length - i, 0, 8)] for i in range(0, int(length.max(initial=0)), 8)]
 
 
+def common_prefixes(keys: list[np.ndarray], size: int) -> np.ndarray:
+    """Bytes, up to ``size``, that each of the sorted strings has in common with the one before it."""
+    out, equal = np.zeros(len(keys[0]), np.int64), np.ones(len(keys[0]), bool)
+    equal[:1] = False
+    for i, word in enumerate(keys):
+        here = np.flatnonzero(equal)
+        differ = word[here] ^ word[here - 1]
+        # bytes from the left up to the highest bit that differs; a double tells that bit but for rounding, so it is shifted down
+        top = np.where(differ >> np.uint64(32) > 0, differ >> np.uint64(32), differ).astype(np.float64)
+        bits = np.frexp(top)[1] + np.where(differ >> np.uint64(32) > 0, 32, 0)
+        out[here] = np.minimum(8 * i + (64 - bits) // 8, size)
+        equal[here] = differ == 0
+    return out
+
+
+def _from_the_left(doc: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
+    """The least common prefix on the way to the nearest entry to the left of a smaller document; 0 if there is none, and not
+    followed below ``least``. An entry's pointer has only documents not smaller than its own on its right, so it may jump
+    to where that entry points."""
+    back, low = np.arange(-1, len(doc) - 1), lcp.copy()
+    low[:1] = 0
+    going = np.flatnonzero((low >= least) & (back >= 0))
+    while len(going):
+        going = going[doc[back[going]] >= doc[going]]
+        at = back[going]
+        low[going], back[going] = np.minimum(low[going], low[at]), back[at]
+        end = back[going] < 0
+        low[going[end]] = 0
+        going = going[~end & (low[going] >= least)]
+    return low
+
+
+def longest_previous_factors(words: np.ndarray, suffix: np.ndarray, doc: np.ndarray, size: int, least: int = 1) -> np.ndarray:
+    """For suffixes (places of ``size`` bytes each) the longest match with one of a smaller document, up to ``size``; matches
+    shorter than ``least`` count as some number below it."""
+    if not len(suffix):
+        return np.zeros(0, np.int64)
+    keys = _bytes(words, suffix, np.full(len(suffix), size))
+    array = np.lexsort(keys[::-1])
+    lcp, doc = common_prefixes([k[array] for k in keys], size), doc[array]
+    after = np.concatenate([[0], lcp[:0:-1]]).astype(np.int64)
+    out = np.empty(len(array), np.int64)
+    out[array] = np.maximum(_from_the_left(doc, lcp, least), _from_the_left(doc[::-1], after, least)[::-1])
+    return out
+
+
 def previous_factors(data: np.ndarray, n: np.ndarray, docs: np.ndarray, tags: np.ndarray, size: int) -> np.ndarray:
     """For runs of suffixes of a bucket (their bytes one after the other, ``n`` suffixes each): a bit for each suffix
     whose longest previous factor has at least ``size`` bytes."""
@@ -121,17 +166,11 @@ def previous_factors(data: np.ndarray, n: np.ndarray, docs: np.ndarray, tags: np
     start = np.cumsum(length) - length
     order, of, first = repeats.least(tags, n, *_bytes(words, start, length), docs=docs)
     run = order[np.flatnonzero(np.diff(of, prepend=-1))]  # distinct runs in order, each with its first document
-    _, anchor, count = np.unique(tags[run], return_inverse=True, return_counts=True)
-    of_run, split = np.zeros(len(run), np.uint64), np.flatnonzero(count[anchor] > 1)
-    if len(split):
-        some = run[split]
-        begin = np.cumsum(n[some]) - n[some]
-        suffix, doc = grow(start[some], n[some]), np.repeat(docs[some], n[some])
-        array, interval, least = repeats.least(*_bytes(words, suffix, np.full(len(suffix), size)), docs=doc)
-        factor = np.empty(len(array), bool)
-        factor[array] = doc[array] > least[interval]
-        bit = (suffix - np.repeat(start[some], n[some])).astype(np.uint64)
-        of_run[split] = np.bitwise_or.reduceat(factor.astype(np.uint64) << bit, begin)
+    begin = np.cumsum(n[run]) - n[run]
+    suffix, doc = grow(start[run], n[run]), np.repeat(docs[run], n[run])
+    factor = longest_previous_factors(words, suffix, doc, size, size) >= size
+    bit = (suffix - np.repeat(start[run], n[run])).astype(np.uint64)
+    of_run = np.bitwise_or.reduceat(factor.astype(np.uint64) << bit, begin)
     every = (np.uint64(1) << n[order].astype(np.uint64)) - np.uint64(1)
     masks[order] = np.where(docs[order] > first[of], every, of_run[of])
     return masks.astype(np.uint32)

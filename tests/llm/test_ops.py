@@ -91,6 +91,21 @@ def test_byte_spans(docs, rows, empty):
     assert sorted(map(tuple, hot), key=str) == without(rows, str.encode, bytes)
 
 
+@pytest.mark.parametrize(("size", "alphabet", "documents"), [(5, 2, 4), (9, 3, 40), (20, 2, 3), (8, 1, 5)])
+def test_longest_previous_factors(size, alphabet, documents):
+    """Every value against all pairs of suffixes, and the decision at the full size whatever is not followed below it."""
+    r = np.random.default_rng(size)
+    data = r.integers(97, 97 + alphabet, 400).astype(np.uint8)
+    suffix = r.permutation(400 - size)[:250]
+    doc = r.integers(0, documents, 250)
+    words = lpf._words(data)
+    common = lambda a, b: next((i for i in range(size) if data[a + i] != data[b + i]), size)
+    want = [max((common(a, b) for b, e in zip(suffix, doc, strict=True) if e < d), default=0) for a, d in zip(suffix, doc, strict=True)]
+    assert lpf.longest_previous_factors(words, suffix, doc, size).tolist() == want
+    assert (lpf.longest_previous_factors(words, suffix, doc, size, size) >= size).tolist() == [w >= size for w in want]
+    assert len(lpf.longest_previous_factors(words, suffix[:0], doc[:0], size)) == 0
+
+
 def test_texts_lose_whole_characters_only(spark):
     a = "é" * 40
     docs = spark.createDataFrame([(1, "x" + a), (2, "y" + a + "z")], "doc_id long, text string")
