@@ -179,3 +179,14 @@ def test_one_text_in_many_rows(spark):
     docs = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 1, "same").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("text"), F.lit("en").alias("lang"))
     rows = filter_audit.with_copies(filter_audit.judge(docs)).where("fails >= 16").collect()
     assert sorted(r.doc_id for r in rows) == list(range(4, 900, 3))
+
+
+def test_prefix_table_query(spark, library):
+    """The registered query over its whole table against the library."""
+    path = "/root/testdata/sf0.001"
+    got = {tuple(r) for r in prefix_bpe.op11_prefix_table(spark, path).collect()}
+    want = set()
+    for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode(r.text or "")
+        want.add((r.doc_id, len(ids), hexed(",".join(map(str, ids))), hexed(library.decode(ids))))
+    assert got == want
