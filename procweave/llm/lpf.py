@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,14 +105,15 @@ def _words(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def _bytes(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[np.ndarray]:
+def _bytes(words: np.ndarray, start: np.ndarray, length: np.ndarray) -> Iterator[np.ndarray]:
     """Sort keys of the byte strings (start, length), the main one first."""
-    return [words[np.minimum(start + i, len(words) - 1)] & _UPTO[np.clip(length - i, 0, 8)] for i in range(0, int(length.max(initial=0)), 8)]
+    for i in range(0, int(length.max(initial=0)), 8):
+        yield words[np.minimum(start + i, len(words) - 1)] & _UPTO[np.clip(length - i, 0, 8)]
 
 
-def common_prefixes(keys: list[np.ndarray], size: int) -> np.ndarray:
-    """Bytes, up to ``size``, that each of the sorted strings has in common with the one before it."""
-    out, equal = np.zeros(len(keys[0]), np.int64), np.ones(len(keys[0]), bool)
+def common_prefixes(keys: Iterable[np.ndarray], n: int, size: int) -> np.ndarray:
+    """Bytes, up to ``size``, that each of ``n`` sorted strings has in common with the one before it."""
+    out, equal = np.zeros(n, np.int64), np.ones(n, bool)
     equal[:1] = False
     for i, word in enumerate(keys):
         here = np.flatnonzero(equal)
@@ -147,9 +148,10 @@ def longest_previous_factors(words: np.ndarray, suffix: np.ndarray, doc: np.ndar
     shorter than ``least`` count as some number below it."""
     if not len(suffix):
         return np.zeros(0, np.int64)
-    keys = _bytes(words, suffix, np.full(len(suffix), size))
-    array = np.lexsort(keys[::-1])
-    lcp, doc = common_prefixes([k[array] for k in keys], size), doc[array]
+    array = np.lexsort(list(_bytes(words, suffix, np.full(len(suffix), size)))[::-1])
+    # the keys are made again in their order, one at a time: all of them twice would be the most that a bucket holds
+    sorted_ = suffix[array]
+    lcp, doc = common_prefixes(_bytes(words, sorted_, np.full(len(suffix), size)), len(suffix), size), doc[array]
     after = np.concatenate([[0], lcp[:0:-1]]).astype(np.int64)
     out = np.empty(len(array), np.int64)
     out[array] = np.maximum(_from_the_left(doc, lcp, least), _from_the_left(doc[::-1], after, least)[::-1])
