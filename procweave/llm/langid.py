@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import storage
+from . import storage, worker
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -53,14 +53,15 @@ def _grams(word: str, n: int) -> list[str]:
 
 
 def fit(labelled: DataFrame, *, rows: int = 20_000, max_words: int = 60_000, max_grams: int = 60_000, longest: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learn from about ``rows`` labelled rows, chosen by a hash of their ids. The model holds at most ``max_words``
+    """Learn from about ``rows`` labelled rows, chosen by a hash of
+    their ids and texts, so that rows without an id, or of one id, are not taken or left together. The model holds at most ``max_words``
     words and ``max_grams`` n-grams, the most frequent; only these reach the driver. Rows without text or language
     teach nothing; without any, every prediction is ``und``."""
     usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     total = usable.select(id_col).count()
     share = min(1.0, rows / max(1, total))
     if share < 1:
-        usable = usable.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 53)) < int(share * (1 << 53)))
+        usable = usable.where(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 53)) < int(share * (1 << 53)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,28 +147,17 @@ class Scorer:
         return self.model.languages[best], float(1 / share.sum())
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """The worker's scorer of a model, kept between tasks; that of another model goes."""
-    if model.key not in _scorers:
-        _scorers.clear()
-        _scorers[model.key] = Scorer(model)
-    return _scorers[model.key]
-
-
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
     """All columns of the rows and two more (in place of columns of their names): the predicted language and its score
     (0 to 1); ``und`` with score 0 where text is null or has no letter. Only the text is looked at, all of it however long;
     each row is judged by itself, so repeated rows get the same answer, and an empty table an empty one."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # at most max_words + max_grams rows
-    rows = docs.drop(lang_as, score_as)
+    rows, key = docs.drop(lang_as, score_as), model.key
     names = [*rows.columns, lang_as, score_as]
     schema = T.StructType([*rows.schema.fields, T.StructField(lang_as, T.StringType()), T.StructField(score_as, T.DoubleType())])
 
     def batches_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(sent.value)
+        scorer = worker.kept(key, lambda: Scorer(sent.value))
         for batch in batches:
             out = [scorer.document(t) if t else (UNKNOWN, 0.0) for t in batch[text_col].to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], names=names)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import storage
+from . import storage, worker
 from .components import components
 from .repeats import CHUNK, NO_ID, bytes_of
 from .winnow import BYTES, Sequence, mix, words
@@ -108,6 +108,7 @@ def signatures(rows: DataFrame, spec: Spec) -> DataFrame:
     seeds = mix(np.arange(1, spec.trees * spec.depth + SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.forget()
         for batch in batches:
             for ids, hashes, sizes in shingle_sets(batch, spec.shingle):
                 full = sizes > 0

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import storage
+from . import storage, worker
 from .winnow import BYTES, SuperKmers, words
 
 _MESSAGE = "bucket int, grp int, hashes binary"
@@ -126,6 +126,7 @@ class Group:
     """All documents of one group with their super-k-mers, and its distinct anchors in order of bucket."""
 
     def __init__(self, table: pa.Table, spec: Spec, buckets: int):
+        worker.forget()
         self.spec, self.buckets, self.parts = spec, buckets, list(parts(table, spec))
         self.owner = np.concatenate([np.zeros(0, np.int64), *(p.owner for p in self.parts)])
         self.anchor = np.concatenate([np.zeros(0, np.uint64), *(p.paths.anchor for p in self.parts)])

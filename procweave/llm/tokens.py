@@ -17,6 +17,8 @@ from collections.abc import Sequence
 
 import numpy as np
 
+from . import worker
+
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than space and line feed; a text that holds any is split with care.
 _ODD_ASCII = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
@@ -168,6 +170,7 @@ _encoders: dict[tuple[str, bool], Encoder] = {}
 def encoder(path: str, leading: bool) -> Encoder:
     """The worker's encoder for a vocabulary file; its pieces stay known between batches and tasks."""
     if (path, leading) not in _encoders:
+        worker.forget()
         _encoders[path, leading] = Encoder(path, leading)
     return _encoders[path, leading]
 

@@ -3,6 +3,7 @@ columns whose names clash with those that the operators use inside."""
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from procweave.llm import chat, components, debruijn, kmeans_tree, langid, lpf, minhash_forest, multi_index, packing, storage, tokens, tree_bpe, wavelet
+from procweave.llm import chat, components, debruijn, kmeans_tree, langid, lpf, minhash_forest, multi_index, packing, storage, tokens, tree_bpe, wavelet, worker
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -315,6 +316,68 @@ def test_language(spark):
     assert [x.h for x in docs.select(langid.held_out(F.col("doc_id")).alias("h")).limit(20).collect()] == [zlib.crc32(str(i).encode()) % 4 == 2 for i in range(20)]
 
 
+def plain_scores(learned, texts):
+    """Best language and its share for each text, by counting words and n-grams plainly."""
+    words_of = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    pieces = lambda w, n: [f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n)]
+    languages, counts = sorted({x for _, x in learned}), ({}, {})
+    for text, language in learned:
+        for w in words_of(text):
+            for kind, keys in enumerate(([w], [g for n in range(1, 5) for g in pieces(w, n)])):
+                for k in keys:
+                    counts[kind].setdefault(k, collections.Counter())[language] += 1
+    logs = []
+    for known in counts:
+        known = {k: c for k, c in known.items() if c.total() > 1}
+        all_ = {x: sum(0.1 + c[x] for c in known.values()) for x in languages}
+        of = {k: [math.log((0.1 + c[x]) / all_[x]) for x in languages] for k, c in known.items()}
+        logs.append({k: [v - sum(x) / len(x) for v in x] for k, x in of.items()})
+
+    def score(word):
+        if word in logs[0]:
+            return logs[0][word]
+        for n in (4, 3, 2, 1):
+            found = [logs[1][g] for g in pieces(word, n) if g in logs[1]]
+            if found:
+                return [sum(x) / len(found) for x in zip(*found)]
+        return [0.0] * len(languages)
+
+    for text in texts:
+        found = words_of(text)
+        total = [sum(x) for x in zip(*map(score, found))]
+        yield languages[total.index(max(total))], 1 / sum(math.exp((x - max(total)) / math.sqrt(len(found))) for x in total)
+
+
+def test_language_scores(spark):
+    r = random.Random(8)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(1, 6)))
+    stock = {"aa": "abcde", "bb": "cdefg", "cc": "abgéß"}
+    stock = {x: [word(letters) for _ in range(40)] for x, letters in stock.items()}
+    learned = [(" ".join(r.choices(stock[x], k=12)), x) for x in stock for _ in range(20)]
+    texts = [" ".join(r.choices(stock[r.choice("abc") * 2], k=3) + [word("abcdefgéßxyz") for _ in range(r.randint(1, 9))]) for _ in range(120)] + ["QQQQ 7 Éa_b", "zzz"]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(learned)], "doc_id long, text string, lang string")
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.lang_pred, x.score) for x in langid.predict(asked, langid.fit(docs)).collect()}
+    for i, (language, share) in enumerate(plain_scores(learned, texts)):
+        assert got[i][0] == language and got[i][1] == pytest.approx(share, abs=1e-4), texts[i]
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_language_sample_of_equal_ids(spark, doc_id):
+    name = lambda i: chr(97 + i // 26) + chr(97 + i % 26)
+    docs = spark.createDataFrame([(doc_id, f"{name(i)} {name(i)}", "aa") for i in range(400)], "doc_id long, text string, lang string")
+    assert 15 < len(langid.fit(docs, rows=40).words) < 80
+
+
+def test_a_worker_keeps_one_state():
+    made = []
+    make = lambda x: lambda: made.append(x) or [x]
+    assert [worker.kept(k, make(k))[0] for k in "aabba"] == list("aabba") and made == list("aba")
+    worker.forget()
+    assert worker.kept("a", make("a")) == ["a"] and made == list("abaa")
+    worker.forget()
+
+
 def test_chat_round_trip(spark):
     texts = ["plain", r"\### Assistant: </turn> ok", "</turn>\n### user: x", "#h <l \\b \\", "", None, "a: b\n" * 3, "é" * 5, "</turn", "##"]
     rows = [(c, t, role, x, 9) for c in range(2) for t, x in enumerate(texts) for role in ["user", "assistant"][c : c + 1]] + [(2, 0, "odd: role\n###", "x", 9), (2, 0, "odd: role\n###", "x", 9), (None, None, None, None, 9)]
