@@ -240,7 +240,7 @@ def srt3_all_rankings(spark, d):
     last = fx.procstat(spark, d).groupBy(*PROCESS).agg(F.max_by(F.struct("ppid", "realUid", "m_size", "m_resident", "numThreads", "io_rchar", "io_wchar", "recTime", (F.col("utime") + F.col("stime")).alias("cpu")), F.struct(*ORDER)).alias("r")).select(*PROCESS, "r.*")
     rows = jobs.attach_user(last, fx.users(spark, d), unknown=None).join(fx.users(spark, d).select(F.col("uid").alias("realUid"), F.lit(True).alias("known")), "realUid", "left").withColumn("user", F.when(F.col("known"), F.col("user")))
     path = shared.new_folder(spark, "live")
-    rows.withColumns({"vsize": F.col("m_size"), "rss": F.col("m_resident"), "duration": F.col("recTime") - F.col("startTime"), "age": 1_710_000_000 - F.col("recTime"), "cpu_rate": F.floor(F.col("cpu") / 100), "mpi_rank": F.col("pid") % 16}).write.parquet(path)
+    rows.withColumns({"vsize": F.col("m_size"), "rss": F.col("m_resident"), "duration": F.col("recTime") - F.col("startTime"), "age": 1_710_000_000 - F.col("recTime"), "cpu_rate": F.expr("cpu div 100"), "mpi_rank": F.col("pid") % 16}).write.parquet(path)
     shown, out = spark.read.parquet(path), None
     for key in report.LIVE_KEYS:
         for up in (True, False):
