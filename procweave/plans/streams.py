@@ -25,7 +25,9 @@ _FAR = 10 * 365 * 86_400
 def feed(spark: SparkSession, rows: DataFrame, name: str, close_after: int | None = _FAR) -> DataFrame:
     """A stream of the rows in slices, and in the end one more like the newest but without a host, ``close_after`` seconds behind the newest, that
     moves the watermark past all others (if not null)."""
-    path = shared.new_folder(spark, name)
+    path, all_rows = shared.new_folder(spark, name), shared.new_folder(spark, f"{name}-rows")
+    rows.write.parquet(all_rows)  # made once, since they are read for the ends, each slice and the last row
+    rows = spark.read.schema(rows.schema).parquet(all_rows)
     ends = rows.agg(F.min("recTime").alias("first"), F.max("recTime").alias("last")).first()
     first, width = ends["first"] or 0, max(((ends["last"] or 0) - (ends["first"] or 0)) // SLICES + 1, 1)
     blurred = F.col("recTime") - first + F.pmod(F.xxhash64(*rows.columns), F.lit(BLUR))
@@ -86,7 +88,8 @@ _FD_ROWS = "SELECT host, pid, fd, recTime, min(startTime) AS startTime, min(mode
   WHERE has IS NULL OR later IS DISTINCT FROM (startTime, path, mode)""")
 def str2_collapse_descriptors(spark, d):
     rows = fx.procfd(spark, d).groupBy("host", "pid", "fd", "recTime").agg(F.min("startTime").alias("startTime"), F.min("mode").alias("mode"), F.min(F.regexp_replace("path", "[0-9]", "")).alias("path"))
-    return finished(live.collapse_descriptors(feed(spark, rows, "str2_fd"), most=5, late=LATE), "str2_fd").select("host", "pid", "fd", "recTime", "path")
+    # limited before the feed too, so that the row that closes it is one that the collapse does not leave out
+    return finished(live.collapse_descriptors(feed(spark, clean.limit_fds(rows, 5), "str2_fd"), most=5, late=LATE), "str2_fd").select("host", "pid", "fd", "recTime", "path")
 
 
 _RATES = ("utime", "stime", "io_rchar", "io_wchar", "m_size", "m_resident", "numThreads")

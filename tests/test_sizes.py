@@ -27,3 +27,9 @@ def same_rows(spark, tmp_path):
 
 def test_ranking_of_counters_below_zero(same_rows):
     same_rows("srt3_all_rankings", events="SELECT * REPLACE (event_id * 97 AS event_id, value / 20 AS value) FROM {}")
+
+
+@pytest.mark.parametrize("line", [1, 6])
+def test_feed_whose_newest_row_is_past_the_limit_of_descriptors(same_rows, line):
+    """The newest row of all has a descriptor that the collapse keeps, and one that it leaves out."""
+    same_rows("str2_collapse_descriptors", lineitem=f"SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN {line} ELSE l_linenumber END AS l_linenumber, CASE WHEN l_orderkey % 7 = 0 THEN 6 ELSE l_suppkey % 6 END AS l_suppkey) FROM {{}}")
