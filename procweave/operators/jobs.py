@@ -48,6 +48,40 @@ def with_records(jobs: DataFrame, records: DataFrame, slot: int = 21_600) -> Dat
     return j.join(r, same & F.col("r.recTime").between(F.col("j.start"), F.col("j.end"))).drop(F.col("j.__slot"), F.col("r.__slot"))
 
 
+def totals_of_records(jobs: DataFrame, records: DataFrame, by: Sequence[str], maxima: Sequence[str], radix: int = 2) -> DataFrame:
+    """How many records the jobs of each ``by`` have (``n``) and the maxima of some of their columns: what grouping
+    ``with_records`` gives, without its pairs, whose number grows with jobs times records.
+
+    Time is cut into blocks of ``2 ** (radix * level)`` seconds, the longest that are no longer than a job. A job is then the end of a
+    block, at most ``2 ** radix - 1`` whole blocks and the beginning of one; it asks for each of them once, and running totals
+    of a block's records in both directions answer. Records are first added up by second."""
+    key = ["host", "job", "task"]
+    length = F.col("end") - F.col("start") + 1
+    level = F.floor(F.log2(length) / radix).cast("int")
+    level = level - F.when(F.pow(F.lit(2.0), level * radix) > length, 1).otherwise(0)  # logarithms are not exact
+    j = jobs.where("start <= end").withColumn("__level", level).withColumn("__size", F.pow(F.lit(2.0), F.col("__level") * radix).cast("long"))
+    block = lambda x: F.floor(x / F.col("__size"))
+    a, b = block(F.col("start")), block(F.col("end"))
+    levels = [r["__level"] for r in j.select("__level").distinct().collect()]  # at most 32
+    ask = lambda at, forward: F.struct(at.cast("long").alias("at"), F.lit(forward).alias("forward"))
+    none = F.array().cast("array<struct<at:bigint,forward:boolean>>")
+    # a whole block is asked for as its beginning up to its last second
+    between = F.when(b - a > 1, F.transform(F.sequence(a + 1, b - 1), lambda x: ask((x + 1) * F.col("__size") - 1, True))).otherwise(none)
+    last = F.when(b > a, F.array(ask(F.col("end"), True))).otherwise(none)  # else the job is one block
+    asked = F.concat(F.array(ask(F.col("start"), False)), between, last)
+    lookups = j.select(*key, *by, "__level", "__size", F.explode(asked).alias("__ask")).select(*key, "__level", block(F.col("__ask.at")).alias("__block"), F.col("__ask.at").alias("__at"), F.col("__ask.forward").alias("__forward"), F.struct(*by).alias("__by"))
+    seconds = records.groupBy("host", F.col("identifier").alias("job"), F.col("subidentifier").alias("task"), F.col("recTime").alias("__at")).agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in maxima])
+    sizes = F.array(*[F.struct(F.lit(x).alias("level"), F.lit(1 << (x * radix)).cast("long").alias("size")) for x in levels]) if levels else F.array().cast("array<struct<level:int,size:bigint>>")
+    held = seconds.where(" AND ".join(f"{k} IS NOT NULL" for k in (*key, "__at"))).withColumn("__s", F.explode(sizes)).select(*key, F.col("__s.level").alias("__level"), F.floor(F.col("__at") / F.col("__s.size")).alias("__block"), "__at", "n", *maxima)
+    parts = []
+    for forward in (True, False):
+        both = held.unionByName(lookups.where(F.col("__forward") == forward).drop("__forward"), allowMissingColumns=True)
+        # records of a second stand before the questions of it
+        w = Window.partitionBy(*key, "__level", "__block").orderBy(F.col("__at").asc() if forward else F.col("__at").desc(), F.col("__by").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+        parts.append(both.select("__by", F.sum("n").over(w).alias("n"), *[F.max(c).over(w).alias(c) for c in maxima]).where(F.col("__by").isNotNull() & F.col("n").isNotNull()))
+    return parts[0].unionByName(parts[1]).groupBy(*[F.col(f"__by.{c}").alias(c) for c in by]).agg(F.sum("n").alias("n"), *[F.max(c).alias(c) for c in maxima])
+
+
 def wanted_parts(jobs: DataFrame, files: DataFrame, hosts: int = 0) -> DataFrame:
     """Parts (date, hour and, with ``hosts``, the group of the job's host) of the hourly tables that hold a file (recording_start,
     recording_stop as timestamps) which overlaps a job's interval. Jobs and files meet by the hours that they touch."""

@@ -300,8 +300,7 @@ def jn11_roots(spark, d):
 
 @query("SELECT job_row, count(*) AS n, CAST(max(r.utime) AS BIGINT) AS utime FROM job_intervals j JOIN procstat r ON j.host = r.host AND j.job = r.identifier AND j.task = r.subidentifier AND r.recTime BETWEEN j.start AND j.stop GROUP BY job_row")
 def jn12_job_records(spark, d):
-    rows = jobs.with_records(fx.job_intervals(spark, d), fx.procstat(spark, d))
-    return rows.groupBy("job_row").agg(F.count("*").alias("n"), F.max("utime").alias("utime"))
+    return jobs.totals_of_records(fx.job_intervals(spark, d), fx.procstat(spark, d), ["job_row"], ["utime"])
 
 
 @query("SELECT c.host, c.pid, c.startTime, c.ppid, max(p.startTime) AS parentStart FROM (SELECT DISTINCT host, pid, startTime, ppid FROM procstat) c LEFT JOIN (SELECT DISTINCT host, pid, startTime FROM procstat) p ON p.host = c.host AND p.pid = c.ppid AND p.startTime <= c.startTime GROUP BY ALL")

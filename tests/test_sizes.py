@@ -1,8 +1,12 @@
 """Queries on tables that are odd or larger in some way, against their SQL."""
 
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from procweave.operators import jobs
 from procweave.plans import catalog
 
 from .test_oracle import DATA, TABLES, plain
@@ -33,3 +37,24 @@ def test_ranking_of_counters_below_zero(same_rows):
 def test_feed_whose_newest_row_is_past_the_limit_of_descriptors(same_rows, line):
     """The newest row of all has a descriptor that the collapse keeps, and one that it leaves out."""
     same_rows("str2_collapse_descriptors", lineitem=f"SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN {line} ELSE l_linenumber END AS l_linenumber, CASE WHEN l_orderkey % 7 = 0 THEN 6 ELSE l_suppkey % 6 END AS l_suppkey) FROM {{}}")
+
+
+def test_totals_of_records_are_those_of_the_pairs(spark):
+    """Jobs that begin and end at borders of blocks, of one second, twice, without records, backwards; records of one second, null values."""
+    r = random.Random(3)
+    spans = [(0, 0), (0, 3), (4, 7), (3, 4), (0, 15), (16, 31), (1, 63), (7, 7), (9, 8), (500, 900)] + [(a, a + r.randrange(300)) for a in (r.randrange(-50, 300) for _ in range(60))]
+    job_rows = [(i % 40, "ab"[i % 2], "j", "1", a, b) for i, (a, b) in enumerate(spans + spans[:5])] + [(41, None, "j", "1", 0, 100)]
+    rows = [("ab"[r.randrange(2)], "j", "1", r.choice([None, *range(-20, 250)]), r.choice([None, 1, 5, 900])) for _ in range(150)] + [(None, "j", "1", 5, 1), ("a", "j", "2", 5, 10_000)]
+    jobs_ = spark.createDataFrame(job_rows, "id long, host string, job string, task string, start long, end long")
+    records = spark.createDataFrame(rows, "host string, identifier string, subidentifier string, recTime long, v long")
+    got = jobs.totals_of_records(jobs_, records, ["id"], ["v"])
+    want = jobs.with_records(jobs_, records).groupBy("id").agg(F.count("*").alias("n"), F.max("v").alias("v"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_totals_of_records_where_pairs_are_too_many(spark):
+    """100,000 jobs over 100,000 records of one name: ten thousand million pairs."""
+    job_rows = spark.range(100_000).selectExpr("id", "'a' AS host", "'j' AS job", "'1' AS task", "0 - id AS start", "100000 + id AS end")
+    records = spark.range(100_000).selectExpr("'a' AS host", "'j' AS identifier", "'1' AS subidentifier", "id AS recTime", "id AS v")
+    got = jobs.totals_of_records(job_rows, records, ["id"], ["v"])
+    assert got.agg(F.sum("n"), F.min("v")).first()[:] == (10_000_000_000, 99_999)
