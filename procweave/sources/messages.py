@@ -7,8 +7,10 @@ procdata and procfd hold texts with their lengths before them, so lines are read
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,9 @@ _NUMBERS = ("pid", "ppid", "recTime", "recTimeUSec", "startTime", "startTimeUSec
 _TEXTS = {"procdata": ("execName", "cmdArgs", "exePath", "cwdPath"), "procfd": ("path",)}
 _TAIL = {"procdata": (), "procfd": ("fd", "mode")}
 _SCHEMAS = {"procdata": PROCDATA, "procfd": PROCFD}
+_ARROW = {"string": pa.string(), "long": pa.int64()}
+#: Records that a parser holds before it sends them on, however many a batch of messages has.
+RECORDS = 5_000
 
 
 def procstat(messages: DataFrame) -> DataFrame:
@@ -63,17 +68,26 @@ def _records(kind: str, body: str) -> Iterator[dict]:
         yield row
 
 
+def read_batches(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
+    """Batches of messages (host, identifier, subidentifier, value) as batches of at most ``RECORDS`` records."""
+    names, kinds = zip(*[c.split() for c in _SCHEMAS[kind].split(", ")], strict=True)
+
+    def read() -> Iterator[tuple]:
+        for batch in batches:
+            for at in range(batch.num_rows):  # one message at a time leaves Arrow's memory
+                *topic, value = (c[at].as_py() for c in batch.columns)
+                for r in _records(kind, value or ""):
+                    yield (*topic, *[r[n] for n in names[3:]])
+
+    records = read()
+    while some := list(islice(records, RECORDS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, t in zip(zip(*some, strict=True), kinds, strict=True)], list(names))
+
+
 def texts(messages: DataFrame, kind: str) -> DataFrame:
     """Rows of procdata or procfd batches (topic, value)."""
     rows = messages.withColumn("t", text.topic(F.col("topic"))).where(F.col("t.type") == kind).select("t.host", "t.identifier", "t.subidentifier", "value")
-    names = [c.split()[0] for c in _SCHEMAS[kind].split(", ")]
-
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = [{"host": h, "identifier": i, "subidentifier": s} | r for h, i, s, v in frame.itertuples(index=False) for r in _records(kind, v or "")]
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.mapInPandas(parse, _SCHEMAS[kind])
+    return rows.mapInArrow(lambda batches: read_batches(batches, kind), _SCHEMAS[kind])
 
 
 def losses(messages: DataFrame, kind: str) -> DataFrame:

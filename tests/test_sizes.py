@@ -3,11 +3,13 @@
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from procweave.operators import jobs
 from procweave.plans import catalog
+from procweave.sources import messages
 
 from .test_oracle import DATA, TABLES, plain
 
@@ -58,3 +60,13 @@ def test_totals_of_records_where_pairs_are_too_many(spark):
     records = spark.range(100_000).selectExpr("'a' AS host", "'j' AS identifier", "'1' AS subidentifier", "id AS recTime", "id AS v")
     got = jobs.totals_of_records(job_rows, records, ["id"], ["v"])
     assert got.agg(F.sum("n"), F.min("v")).first()[:] == (10_000_000_000, 99_999)
+
+
+def test_long_messages_are_read_in_parts():
+    """No batch of records is larger than its bound, though a batch of messages has many more."""
+    one = "".join(f"{pid},1,2,3,4,5,2,é,{pid},256\n" for pid in range(30_000))
+    topics = pa.RecordBatch.from_pydict({"host": ["h"] * 3, "identifier": ["j"] * 3, "subidentifier": ["1", "2", "3"], "value": ["nRecords=30000\n" + one, None, "nRecords=1\n7,1,2,3,4,5,1,/,9,8"]})
+    read = list(messages.read_batches(iter([topics]), "procfd"))
+    assert max(b.num_rows for b in read) == messages.RECORDS
+    rows = [r for b in read for r in b.to_pylist()]
+    assert [r["fd"] for r in rows] == [*range(30_000), 9] and {r["path"] for r in rows} == {"é", "/"} and rows[-1]["subidentifier"] == "3"
