@@ -23,8 +23,8 @@ def collapse(rows: DataFrame, key: Sequence[str], compare: Sequence[str], *, wit
     """The last row of each run of equal rows, by key and, in it, by ``within``: sent when the next row differs, and at the
     latest when ``reset`` seconds (an hour) are over, at which all keys start anew. Without ``reset`` it is sent when the
     key has been silent. On finished input these are the rows of ``clean.collapse`` by key, ``within`` and hour."""
-    schema, kinds = ordered.ddl(rows), dict(rows.dtypes)
-    made = ordered.Collapse(schema, rows.columns, [(c, kinds[c]) for c in within], compare, reset, silence)
+    schema = ordered.ddl(rows)
+    made = ordered.Collapse(schema, rows.columns, key, within, compare, reset, silence)
     return ordered.run(rows, key, made, schema, late)
 
 
@@ -54,7 +54,7 @@ def join_identity(stat: DataFrame, data: DataFrame, key: Sequence[str] = ("host"
     b = data.select(*[F.col(c) if c in key or c in times else F.lit(None).cast(t).alias(c) for c, t in stat.dtypes if c in own], *bring, F.lit(1).alias("side"))
     both = a.unionByName(b)
     out = both.drop("side")
-    return ordered.run(both, key, ordered.Newest(ordered.ddl(both), both.columns, out.columns, own, bring, silence), ordered.ddl(out), late)
+    return ordered.run(both, key, ordered.Newest(ordered.ddl(both), both.columns, key, out.columns, own, bring, silence), ordered.ddl(out), late)
 
 
 def cache(rows: DataFrame, key: Sequence[str] = ("host", "identifier", "subidentifier"), member: Sequence[str] = ("pid", "startTime"), counters: Sequence[str] = (), state: str | None = None, *, timeout: int = FRESH, late: str | None = None, mode: str = "update") -> DataFrame:
@@ -64,7 +64,7 @@ def cache(rows: DataFrame, key: Sequence[str] = ("host", "identifier", "subident
     the newer batch lacks, and for all of a key of which nothing has come for ``timeout`` seconds of record time."""
     schema, kinds = ordered.ddl(rows), dict(rows.dtypes)
     out = ", ".join([schema, *[f"`{c}_delta` {kinds[c]}" for c in counters], "dt long, since long, gone boolean"])
-    return ordered.run(rows, key, ordered.Cache(schema, rows.columns, member, counters, state, timeout), out, late or f"{timeout} seconds", mode)
+    return ordered.run(rows, key, ordered.Cache(schema, rows.columns, key, member, counters, state, timeout), out, late or f"{timeout} seconds", mode)
 
 
 def view(updates: DataFrame, key: Sequence[str] = ("host", "identifier", "subidentifier"), member: Sequence[str] = ("pid", "startTime")) -> DataFrame:

@@ -1,6 +1,9 @@
-"""Keyed state over record time: rows wait in a buffer of their key until the watermark has passed them, and are then worked
+"""Keyed state over record time: rows wait in a buffer until the watermark has passed them, and are then worked
 on in the order of their times, whatever the batches that brought them.
 
+Keys are dealt into ``GROUPS`` groups, whose state is read and written as a whole: a call of the state store costs far more than a
+row, so a group's calls are shared by its keys.
+
 So a stream gives the rows that a sorted table would give: rows that are at most ``late`` behind the newest record count,
 older ones are left out. Time is that of the records; a stream over finished input ends, and gives the same rows again.
 """
@@ -13,6 +16,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+#: Groups into which keys are dealt; a stream that has begun keeps its number.
+GROUPS = 2048
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -38,32 +44,63 @@ def in_order(rows: Iterable[tuple], order: Sequence[int]) -> list[tuple]:
     return sorted(rows, key=lambda r: [(r[i] is not None, r[i] or 0) for i in order])
 
 
-class Ordered(StatefulProcessor):
-    """``work(key, rows in order, watermark)`` yields what is to be sent and leaves in ``wake`` the time (ms) at which the key
-    wants to be looked at again although no row has come, or none. A key has at most one timer for its buffer and one for that."""
+class Grouped(StatefulProcessor):
+    """State of a group of keys, with one timer at a time."""
 
-    def __init__(self, schema: str, columns: Sequence[str]):
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str]):
         self.schema, self.columns = schema, list(columns)
         self.order, self.at = order_of(self.columns), self.columns.index("recTime")
-        self.wake: int | None = None
+        self.key = [self.columns.index(c) for c in key]
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.timer = handle.getValueState("timer", "at long", None)
+        self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        """Further state of a subclass."""
+        raise NotImplementedError
+
+    def look(self, at: int, again: bool = False) -> None:
+        """Look at the group at a time (ms), or sooner if it is already to be; ``again``: the timer before has run out."""
+        old = None if again else self.timer.get()
+        if old is not None and old[0] <= at:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old[0])
+        self.timer.update((at,))
+        self.handle.registerTimer(at)
+
+    def close(self) -> None:
+        pass
+
 
-    def work(self, key: tuple, rows: list[tuple], now: int) -> Iterator[Row]:
+class Ordered(Grouped):
+    """``work(last, rows in order, watermark)`` yields what is to be sent, changes ``last``, the rows that are remembered by the columns
+    of ``slot``, and leaves in ``wake`` the time (ms) at which they want to be looked at again although no row has come, or none."""
+
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], within: Sequence[str] = ()):
+        super().__init__(schema, columns, key)
+        self.slot = self.key + [self.columns.index(c) for c in within]
+        self.wake: int | None = None
+
+    def work(self, last: dict[tuple, tuple], rows: list[tuple], now: int) -> Iterator[Row]:
         raise NotImplementedError
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def slot_of(self, row: tuple) -> tuple:
+        return tuple([row[i] for i in self.slot])
+
+    def soon(self, at: int) -> None:
+        self.wake = at if self.wake is None else min(self.wake, at)
+
+    def open(self, handle):
         self.waiting = handle.getListState("waiting", self.schema, None)
-        self.open(handle)
+        self.last = handle.getListState("last", self.schema, None)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         n = len(self.columns)
         new = [tuple(r)[:n] for r in rows]
-        if not self.waiting.exists():
-            self.handle.registerTimer(min(r[self.at] for r in new) * 1000)
         self.waiting.appendList(new)
+        self.look(min(r[self.at] for r in new) * 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -71,27 +108,30 @@ class Ordered(StatefulProcessor):
         ready, left = [], []
         for row in self.waiting.get() if self.waiting.exists() else ():
             (ready if row[self.at] * 1000 <= now else left).append(tuple(row))
+        known = {self.slot_of(r): tuple(r) for r in self.last.get()} if self.last.exists() else {}
+        last = dict(known)
         self.wake = None
-        yield from self.work(key, in_order(ready, self.order), now)
-        if ready:
-            if left:
-                self.waiting.put(left)
-            else:
-                self.waiting.clear()
-        if left:
-            self.handle.registerTimer(min(r[self.at] for r in left) * 1000)
+        yield from self.work(last, in_order(ready, self.order), now)
+        for state, old, rows in ((self.waiting, ready, left), (self.last, known != last, list(last.values()))):
+            if old and rows:
+                state.put(rows)
+            elif old:
+                state.clear()
         if self.wake is not None:
-            self.handle.registerTimer(max(self.wake, now + 1))
-
-    def close(self) -> None:
-        pass
+            self.wake = max(self.wake, now + 1)
+        if left:
+            self.soon(min(r[self.at] for r in left) * 1000)
+        if self.wake is None:
+            self.timer.clear()
+        else:
+            self.look(self.wake, again=True)
 
 
 def run(rows: DataFrame, key: Sequence[str], processor: StatefulProcessor, schema: str, late: str, mode: str = "append") -> DataFrame:
     """The processor over a stream of rows with ``recTime`` (seconds); rows without one are left out."""
     use_state_store(rows.sparkSession)
     timed = rows.where(F.col("recTime").isNotNull()).withColumn("__at", F.timestamp_seconds("recTime")).withWatermark("__at", late)
-    return timed.groupBy(*key).transformWithState(processor, schema, mode, "EventTime")
+    return timed.withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(GROUPS))).groupBy("__group").transformWithState(processor, schema, mode, "EventTime")
 
 
 class Collapse(Ordered):
@@ -99,17 +139,12 @@ class Collapse(Ordered):
     end at multiples of ``reset`` seconds, when all that is remembered is sent and forgotten; without ``reset``, when a
     key has been silent for ``silence`` seconds."""
 
-    def __init__(self, schema: str, columns: Sequence[str], within: Sequence[tuple[str, str]], compare: Sequence[str], reset: int | None, silence: int):
-        super().__init__(schema, columns)
-        self.within = [self.columns.index(c) for c, _ in within]
-        self.sub = ", ".join(f"`{c}` {t}" for c, t in within) or "one int"
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], within: Sequence[str], compare: Sequence[str], reset: int | None, silence: int):
+        super().__init__(schema, columns, key, within)
         self.compare = [self.columns.index(c) for c in compare]
         self.reset, self.silence = reset, silence
         self.row = Row(*self.columns)
 
-    def open(self, handle):
-        self.last = handle.getMapState("last", self.sub, self.schema)
-
     def _until(self, row: tuple) -> int:
         """When a remembered row is to be sent at the latest, in ms."""
         at = row[self.at]
@@ -119,132 +154,125 @@ class Collapse(Ordered):
         apart = old[self.at] // self.reset != new[self.at] // self.reset if self.reset else new[self.at] - old[self.at] > self.silence
         return apart or any(old[i] != new[i] for i in self.compare)
 
-    def work(self, key, rows, now):
-        known = {tuple(k): tuple(v) for k, v in self.last.iterator()}
-        last, soonest = dict(known), None
+    def work(self, last, rows, now):
         for new in rows:
-            sub = tuple(new[i] for i in self.within) or (0,)
-            old = last.get(sub)
+            slot = self.slot_of(new)
+            old = last.get(slot)
             if old is not None and self._ends(old, new):
                 yield self.row(*old)
-            last[sub] = new
-        for sub, row in last.items():
+            last[slot] = new
+        for slot, row in list(last.items()):
             until = self._until(row)
             if until <= now:
-                yield self.row(*row)
-                if sub in known:
-                    self.last.removeKey(sub)
-                continue
-            if known.get(sub) != row:
-                self.last.updateValue(sub, row)
-            soonest = until if soonest is None else min(soonest, until)
-        self.wake = soonest
+                yield self.row(*last.pop(slot))
+            else:
+                self.soon(until)
 
 
 class Rates(Ordered):
     """The change per second of each counter since the sample before; samples of one time have one rate, from the first."""
 
     def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], counters: Sequence[str], silence: int):
-        super().__init__(schema, columns)
-        self.key = [self.columns.index(c) for c in key]
+        super().__init__(schema, columns, key)
         self.counters = [self.columns.index(c) for c in counters]
         self.usec = self.columns.index("recTimeUSec") if "recTimeUSec" in self.columns else None
         self.silence = silence
         self.row = Row(*key, "recTime", *(["recTimeUSec"] if self.usec is not None else []), *[f"{c}_rate" for c in counters])
 
-    def open(self, handle):
-        self.last = handle.getValueState("last", self.schema, None)
-
     def _time(self, row: tuple) -> float:
         return row[self.at] + (row[self.usec] / 1e6 if self.usec is not None else 0)
 
-    def work(self, key, rows, now):
-        before = last = tuple(self.last.get()) if self.last.exists() else None
+    def work(self, last, rows, now):
         for new in rows:
-            gap = self._time(new) - self._time(last) if last is not None else 0
-            if last is not None and gap <= 0:
+            slot = self.slot_of(new)
+            old = last.get(slot)
+            gap = self._time(new) - self._time(old) if old is not None else 0
+            if old is not None and gap <= 0:
                 continue
-            if last is not None and gap <= self.silence:
-                change = [None if new[i] is None or last[i] is None else (new[i] - last[i]) / gap for i in self.counters]
-                yield self.row(*[new[i] for i in self.key], new[self.at], *([new[self.usec]] if self.usec is not None else []), *change)
-            last = new
-        if last is None:
-            return
-        until = (last[self.at] + self.silence) * 1000
-        if until <= now:
-            self.last.clear()
-            return
-        if last is not before:
-            self.last.update(last)
-        self.wake = until
+            if old is not None and gap <= self.silence:
+                change = [None if new[i] is None or old[i] is None else (new[i] - old[i]) / gap for i in self.counters]
+                yield self.row(*slot, new[self.at], *([new[self.usec]] if self.usec is not None else []), *change)
+            last[slot] = new
+        for slot, row in list(last.items()):
+            until = (row[self.at] + self.silence) * 1000
+            if until <= now:
+                del last[slot]
+            else:
+                self.soon(until)
 
 
 class Newest(Ordered):
     """Two inputs of one key in one stream (column ``side`` of 0 or 1): the newest row of each is remembered, and when their
     times are equal the pair is sent, once for a time."""
 
-    def __init__(self, schema: str, columns: Sequence[str], names: Sequence[str], left: Sequence[str], right: Sequence[str], silence: int):
-        super().__init__(schema, columns)
-        self.side = self.columns.index("side")
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], names: Sequence[str], left: Sequence[str], right: Sequence[str], silence: int):
+        super().__init__(schema, columns, key, ("side",))
         self.take = [(0, self.columns.index(c)) for c in left] + [(1, self.columns.index(c)) for c in right]
         self.silence = silence
         self.row = Row(*names)
 
-    def open(self, handle):
-        self.newest = handle.getMapState("newest", "side int", self.schema)
-
-    def work(self, key, rows, now):
-        known = {k[0]: tuple(v) for k, v in self.newest.iterator()}
-        newest = dict(known)
-        times = [r[self.at] for r in rows]
-        for i, row in enumerate(rows):
-            newest[row[self.side]] = row
-            if i + 1 < len(rows) and times[i + 1] == times[i]:
-                continue  # more of this time to come
-            if len(newest) == 2 and newest[0][self.at] == newest[1][self.at]:
-                yield self.row(*[newest[side][c] for side, c in self.take])
-        for side, row in newest.items():
+    def work(self, last, rows, now):
+        by_key: dict[tuple, list[tuple]] = {}
+        for row in rows:
+            by_key.setdefault(self.slot_of(row)[:-1], []).append(row)
+        for key, own in by_key.items():
+            for i, row in enumerate(own):
+                last[self.slot_of(row)] = row
+                if i + 1 < len(own) and own[i + 1][self.at] == row[self.at]:
+                    continue  # more of this time to come
+                pair = last.get((*key, 0)), last.get((*key, 1))
+                if None not in pair and pair[0][self.at] == pair[1][self.at]:
+                    yield self.row(*[pair[side][c] for side, c in self.take])
+        for slot, row in list(last.items()):
             until = (row[self.at] + self.silence) * 1000
             if until <= now:
-                if side in known:
-                    self.newest.removeKey((side,))
-                continue
-            if known.get(side) != row:
-                self.newest.updateValue((side,), row)
-            self.wake = until if self.wake is None else min(self.wake, until)
+                del last[slot]
+            else:
+                self.soon(until)
 
 
-class Cache(StatefulProcessor):
+class Cache(Grouped):
     """The newest batch of a key (all its rows of the newest second), sent again whenever it changes, with what became of
     the members of the batch before. Nothing waits here: a live view shows what has come; a batch that is older than the newest
     of its key, or that the watermark has passed, is left out."""
 
-    def __init__(self, schema: str, columns: Sequence[str], member: Sequence[str], counters: Sequence[str], state: str | None, timeout: int):
-        self.schema, self.columns = schema, list(columns)
-        self.order, self.at = order_of(self.columns), self.columns.index("recTime")
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], member: Sequence[str], counters: Sequence[str], state: str | None, timeout: int):
+        super().__init__(schema, columns, key)
         self.member = [self.columns.index(c) for c in member]
         self.counters = [self.columns.index(c) for c in counters]
         self.state = self.columns.index(state) if state else None
         self.timeout = timeout
         self.row = Row(*self.columns, *[f"{c}_delta" for c in counters], "dt", "since", "gone")
 
-    def init(self, handle):
-        self.handle = handle
+    def open(self, handle):
         self.batch = handle.getListState("batch", f"{self.schema}, since long", None)
 
+    def _by_key(self, rows: Iterable[tuple]) -> dict[tuple, list[tuple]]:
+        out: dict[tuple, list[tuple]] = {}
+        for row in rows:
+            out.setdefault(tuple([row[i] for i in self.key]), []).append(tuple(row))
+        return out
+
+    def _keep(self, batches: dict[tuple, list[tuple]], again: bool = False) -> None:
+        """Of each key the rows of its newest second, and a timer for the key that is to be gone first."""
+        if batches:
+            self.batch.put([row for rows in batches.values() for row in rows])
+            self.look((min(rows[0][self.at] for rows in batches.values()) + self.timeout + 1) * 1000, again)
+        else:
+            self.batch.clear()
+            self.timer.clear()
+
     def _sent(self, row: tuple, old: tuple | None, since: int | None, gone: bool) -> Row:
         delta = [None if old is None or row[i] is None or old[i] is None else row[i] - old[i] for i in self.counters]
         return self.row(*row, *delta, None if old is None else row[self.at] - old[self.at], since, gone)
 
-    def handleInputRows(self, key, rows, timerValues):
-        n, now = len(self.columns), timerValues.getCurrentWatermarkInMs()
-        before = {tuple(r[i] for i in self.member): tuple(r) for r in self.batch.get()} if self.batch.exists() else {}
-        time = max((r[self.at] for r in before.values()), default=None)
+    def _changed(self, before: dict[tuple, tuple], rows: list[tuple], now: int, out: dict[tuple, Row]) -> dict[tuple, tuple]:
+        """The batch of a key after some rows, in order, and in ``out`` what is to be sent of its members."""
+        n, time = len(self.columns), max((r[self.at] for r in before.values()), default=None)
         by_time: dict[int, dict[tuple, tuple]] = {}
-        for row in in_order((tuple(r)[:n] for r in rows), self.order):
+        for row in rows:
             if row[self.at] * 1000 > now and (time is None or row[self.at] >= time):
                 by_time.setdefault(row[self.at], {})[tuple(row[i] for i in self.member)] = row
-        out: dict[tuple, Row] = {}
         for at in sorted(by_time):
             batch = dict(before) if at == time else {}
             for member, row in by_time[at].items():
@@ -257,18 +285,28 @@ class Cache(StatefulProcessor):
                 if member not in batch:
                     out[member] = self._sent(old[:n], None, old[n], True)
             before, time = batch, at
-        if not out:
-            return iter(())
-        self.batch.put(list(before.values()))
-        self.handle.registerTimer((time + self.timeout + 1) * 1000)
-        return iter(out.values())
+        return before
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        rows = [tuple(r) for r in self.batch.get()] if self.batch.exists() else []
-        if rows and (max(r[self.at] for r in rows) + self.timeout) * 1000 < timerValues.getCurrentWatermarkInMs():
-            self.batch.clear()
-            for row in rows:
-                yield self._sent(row[:-1], None, row[-1], True)
+    def handleInputRows(self, key, rows, timerValues):
+        n, now = len(self.columns), timerValues.getCurrentWatermarkInMs()
+        batches = self._by_key(self.batch.get()) if self.batch.exists() else {}
+        sent = []
+        for k, new in self._by_key(in_order((tuple(r)[:n] for r in rows), self.order)).items():
+            out: dict[tuple, Row] = {}
+            after = self._changed({tuple(r[i] for i in self.member): r for r in batches.get(k, ())}, new, now, out)
+            if out:
+                batches[k] = list(after.values())
+                sent += out.values()
+        if sent:
+            self._keep(batches)
+        return iter(sent)
 
-    def close(self):
-        pass
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs()
+        batches = self._by_key(self.batch.get()) if self.batch.exists() else {}
+        for k, rows in list(batches.items()):
+            if (rows[0][self.at] + self.timeout) * 1000 < now:
+                del batches[k]
+                for row in rows:
+                    yield self._sent(row[:-1], None, row[-1], True)
+        self._keep(batches, again=True)

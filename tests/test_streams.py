@@ -3,11 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from procweave.operators import clean
 from procweave.plans import streams
-from procweave.streaming import hours, live
+from procweave.streaming import hours, live, ordered
 
 SAMPLE = "host string, pid long, recTime long, event_id long, v long"
 
@@ -153,3 +154,22 @@ def test_feeds_come_out_of_order(spark):
 def test_feed_counts(spark):
     rows = spark.sql("SELECT timestamp_seconds(id + 10) AS ts, 'h' AS host, 't' AS type FROM range(5)")
     assert live.feed_counts(rows).first()["n"] == 5
+
+
+@pytest.mark.parametrize("groups", [1, 3])
+def test_keys_that_share_a_group_keep_apart(feed, spark, monkeypatch, groups):
+    """State is read and written by groups of keys; a key's rows, last row and times are its own."""
+    monkeypatch.setattr(ordered, "GROUPS", groups)
+    r = random.Random(8)
+    rows = [(r.choice(["a", "b", None]), r.randrange(6), t, i, r.choice([1, 2, None])) for i, t in enumerate(r.sample(range(3000, 12_000), 300))]
+    r.shuffle(rows)
+    f = feed(SAMPLE).add(rows[:100], rows[100:200], rows[200:], [("", 0, 900_000, 1000, 1)])
+    got = f.run(live.collapse(f.stream(), ["host", "pid"], ["v"], late="3 hours"), "runs").where("host != '' OR host IS NULL")
+    table = spark.createDataFrame(rows, SAMPLE).withColumn("hour", F.expr("recTime div 3600"))
+    want = clean.collapse(table, ["host", "pid", "hour"], ["v"], ["recTime", "event_id"])
+    assert sorted(x.event_id for x in got.collect()) == sorted(x.event_id for x in want.collect())
+    rates = f.run(live.rates(f.stream(), ["host", "pid"], ["v"], late="3 hours", silence=1000), "rates")
+    before = lambda c: F.lag(c).over(Window.partitionBy("host", "pid").orderBy("recTime"))
+    gap = F.col("recTime") - before("recTime")
+    want = table.select("host", "pid", "recTime", ((F.col("v") - before("v")) / gap).alias("v_rate"), gap.alias("gap")).where("gap <= 1000").drop("gap")
+    assert sorted(map(str, rates.collect())) == sorted(map(str, want.collect()))
