@@ -18,7 +18,7 @@ GROUPINGS: tuple[tuple[str, ...], ...] = (*[(w,) for w in _WHAT], ("project",),
 def daily(processes: DataFrame, groupings: Sequence[Sequence[str]] = GROUPINGS) -> DataFrame:
     """cpu_time, walltime and nobs by every grouping, labelled ``type``."""
     rows = processes.withColumns({"cpu_time": F.col("utime") + F.col("stime"), "walltime": F.col("recTime") - F.col("startTime"), "nobs": F.lit(1)})
-    out = axes(rows, groupings, ("cpu_time", "walltime", "nobs"))
+    out = axes(rows, groupings, ("cpu_time", "walltime", "nobs"), deal=("user", "host"))
     return out.withColumnRenamed("axis", "type").withColumn("cpu_time", F.col("cpu_time") / 100.0)
 
 

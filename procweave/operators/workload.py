@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import shared
+
+#: Rows that a task of ``axes`` adds up after they are expanded, about, and buckets in which frequent values are looked for.
+DEALT, BUCKETS = 1_000_000, 1 << 16
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -64,18 +70,62 @@ def keys_of(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if not c.endswith(("_sum", "_count", "_histogram"))]
 
 
-def axes(rows: DataFrame, sets: Sequence[Sequence[str]], sums: Sequence[str]) -> DataFrame:
-    """Sums over each set of keys. Rows are added up by all keys first, so only the small table is expanded; ``axis``
-    names the set, and keys outside it are null."""
+def axes(rows: DataFrame, sets: Sequence[Sequence[str]], sums: Sequence[str], deal: Sequence[str] = ()) -> DataFrame:
+    """Sums over each set of keys; ``axis`` names the set, and keys outside it are null.
+
+    Rows are added up by all keys first, so only the small table is expanded. That table is as large as the rows where keys
+    have many values; name these in ``deal``. Rows then are kept once in the shared folder, and for each key of ``deal`` dealt by
+    its values to tasks of about ``DEALT`` expanded rows, which add up all sets with that key where the rows lie. The rows of
+    values that are too frequent for a task, and the sets without such a key, are added up as above."""
     keys = sorted({k for s in sets for k in s})
-    small = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    if not deal:
+        return _expanded(rows, keys, sets, sums)
+    path = shared.new_folder(rows.sparkSession, "axes")
+    rows.select(*keys, *sums).write.parquet(path)
+    kept = rows.sparkSession.read.schema(rows.select(*keys, *sums).schema).parquet(path)
+    n, left, parts = kept.count(), list(sets), []
+    for home in deal:
+        mine, left = [s for s in left if home in s], [s for s in left if home not in s]
+        if mine:
+            parts += _by_home(kept, n, home, keys, mine, sums)
+    if left:
+        parts.append(_expanded(kept, keys, left, sums))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _expanded(rows: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], sums: Sequence[str]) -> DataFrame:
+    used = [k for k in keys if any(k in s for s in sets)]
+    small = rows.groupBy(*used).agg(*[F.sum(c).alias(c) for c in sums])
     label = F.lit(None).cast("string")
     for s in sets:
         inside = F.lit(True)
-        for k in keys:
+        for k in used:
             inside = inside & (F.grouping(k) == (0 if k in s else 1))
         label = F.when(inside, F.lit("*".join(s))).otherwise(label)
-    return small.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in keys]).agg(label.alias("axis"), *[F.sum(c).alias(c) for c in sums])
+    out = small.groupingSets([[F.col(k) for k in s] for s in sets], *[F.col(k) for k in used]).agg(label.alias("axis"), *[F.sum(c).alias(c) for c in sums])
+    return _all_keys(rows, out, keys, sums)
+
+
+def _all_keys(rows: DataFrame, out: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    kinds = dict(rows.dtypes)
+    return out.select(*[F.col(k) if k in out.columns else F.lit(None).cast(kinds[k]).alias(k) for k in keys], "axis", *sums)
+
+
+def _by_home(rows: DataFrame, n: int, home: str, keys: Sequence[str], sets: Sequence[Sequence[str]], sums: Sequence[str]) -> list[DataFrame]:
+    """Sums over sets that all hold the key ``home``, without another exchange behind the one by that key."""
+    tasks = n * len(sets) // DEALT + 1
+    bucket = F.pmod(F.xxhash64(home), F.lit(BUCKETS))
+    # at most a thousand buckets, one row each, can hold more than that
+    full = [r["bucket"] for r in rows.groupBy(bucket.alias("bucket")).count().where(F.col("count") > max(n // tasks, n // 1000)).collect()] if tasks > 1 else []
+    others = [k for k in keys if k != home and any(k in s for s in sets)]
+    kinds = dict(rows.dtypes)
+    one = [F.struct(F.lit("*".join(s)).alias("axis"), *[(F.col(k) if k in s else F.lit(None).cast(kinds[k])).alias(k) for k in others]) for s in sets]
+    dealt = (rows.where(~bucket.isin(full)) if full else rows).select(home, *others, *sums).repartition(tasks, home)
+    each = dealt.select(home, *sums, F.explode(F.array(*one)).alias("__one")).select(home, "__one.*", *sums)
+    out = [_all_keys(rows, each.groupBy(home, "axis", *others).agg(*[F.sum(c).alias(c) for c in sums]), keys, sums)]
+    if full:
+        out.append(_expanded(rows.where(bucket.isin(full)), keys, sets, sums))
+    return out
 
 
 def classify_distinct(rows: DataFrame, column: str, category: Column, name: str) -> DataFrame:

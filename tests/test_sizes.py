@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from procweave.operators import jobs
+from procweave.operators import jobs, report, workload
 from procweave.plans import catalog
 from procweave.sources import messages
 
@@ -70,3 +70,34 @@ def test_long_messages_are_read_in_parts():
     assert max(b.num_rows for b in read) == messages.RECORDS
     rows = [r for b in read for r in b.to_pylist()]
     assert [r["fd"] for r in rows] == [*range(30_000), 9] and {r["path"] for r in rows} == {"é", "/"} and rows[-1]["subidentifier"] == "3"
+
+
+_SETS = (("host", "command"), ("project", "command"), ("host",), ("user", "project"), ("command",))
+
+
+@pytest.mark.parametrize("dealt", [50, 1_000_000])
+def test_axes_that_are_dealt_by_key(spark, monkeypatch, dealt):
+    """Keys that are null, values that hold most rows, null values; ``dealt`` is less than a frequent value has, or more than all rows."""
+    r = random.Random(4)
+    rows = [(r.choice([*["h1"] * 8, None, *[f"h{i}" for i in range(30)]]), r.choice([None, "a", "b"]), r.choice(["p", None]), r.choice([*[None] * 9, *[f"u{i}" for i in range(40)]]), r.choice([None, 1, 20]), 1) for _ in range(900)]
+    table = spark.createDataFrame(rows, "host string, command string, project string, user string, n long, one int")
+    monkeypatch.setattr(workload, "DEALT", dealt)
+    got, want = (workload.axes(table, _SETS, ("n", "one"), deal=d) for d in (("user", "host"), ()))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("query", ["agg15_axes", "agg16_daily_report"])
+def test_tasks_of_axes_grow_with_the_rows(spark, monkeypatch, query):
+    """What a task adds up is bounded: ten times smaller shares are many times as many tasks."""
+    tasks = []
+    for share in (1000, 100):
+        monkeypatch.setattr(workload, "DEALT", share)
+        tasks.append(catalog.QUERIES[query](spark, DATA).rdd.getNumPartitions())
+    assert tasks[1] > 5 * tasks[0]
+
+
+def test_daily_report_of_one_process(spark):
+    row = spark.createDataFrame([("h", None, "p", "e", "s", "c", 1, 2, 3, 9)], "host string, user string, project string, executable string, script string, command string, utime long, stime long, startTime long, recTime long")
+    got = report.daily(row).collect()
+    assert sorted(r["type"] for r in got) == sorted("*".join(g) for g in report.GROUPINGS) and {(r["cpu_time"], r["walltime"], r["nobs"]) for r in got} == {(0.03, 6, 1)}
