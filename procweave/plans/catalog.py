@@ -440,7 +440,7 @@ _AXES = (("host", "command"), ("project", "command"), ("project", "execCommand")
 
 @query("SELECT " + ", ".join(f"{k}" for k in ("command", "execCommand", "host", "project", "user")) + ", CASE " + " ".join("WHEN " + " AND ".join(f"grouping({k}) = {0 if k in s else 1}" for k in ("command", "execCommand", "host", "project", "user")) + f" THEN '{'*'.join(s)}'" for s in _AXES) + " END AS axis, CAST(sum(duration) AS BIGINT) AS duration, CAST(sum(nRecords) AS BIGINT) AS nRecords FROM summary GROUP BY GROUPING SETS (" + ", ".join("(" + ", ".join(s) + ")" for s in _AXES) + ")")
 def agg15_axes(spark, d):
-    return workload.axes(fx.summary(spark, d), _AXES, ("duration", "nRecords"))
+    return workload.axes(fx.summary(spark, d), _AXES, ("duration", "nRecords"), deal=("host", "user"))
 
 
 _REPORT = """(SELECT host, user, project, execCommand AS executable, p_script AS script, command, utime_net AS utime, stime_net AS stime, startTime, startTime + duration AS recTime FROM (SELECT *, split_part(command, ' ', 1) AS p_script FROM summary))"""

@@ -97,6 +97,20 @@ def test_tasks_of_axes_grow_with_the_rows(spark, monkeypatch, query):
     assert tasks[1] > 5 * tasks[0]
 
 
+def test_joins_of_the_summary_in_shares(same_rows, spark, monkeypatch):
+    """6,000 rows in shares of 500: thirteen tasks a join, whatever the number of the session."""
+    monkeypatch.setattr(catalog.fx, "SHARE", 500)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = catalog.fx.summary(spark, DATA)
+        assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()
+        same_rows("agg15_axes")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_daily_report_of_one_process(spark):
     row = spark.createDataFrame([("h", None, "p", "e", "s", "c", 1, 2, 3, 9)], "host string, user string, project string, executable string, script string, command string, utime long, stime long, startTime long, recTime long")
     got = report.daily(row).collect()
