@@ -20,6 +20,8 @@ SLICES, BLUR, FILES = 4, 86_400, 2
 #: Time between a row and the newest one before it, at most: a slice of a month and the blur.
 LATE = f"{BLUR * 12} seconds"
 _FAR = 10 * 365 * 86_400
+#: Records in a file of messages, about, and files of such a batch, at most: what a batch holds does not grow with the table.
+RECORDS, BATCH = 125_000, 16
 
 
 def feed(spark: SparkSession, rows: DataFrame, name: str, close_after: int | None = _FAR) -> DataFrame:
@@ -142,8 +144,9 @@ def str1_messages_to_hours(spark, d):
 
     path, out = shared.new_folder(spark, "messages"), shared.new_folder(spark, "hours")
     topics = messages.render(_wide_stat(spark, d), "procstat")
-    topics.repartition(2 * FILES).write.parquet(path)
-    stream = spark.readStream.schema(topics.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    files = max(2 * FILES, fx.table(spark, d, "events").count() // RECORDS + 1)
+    topics.repartition(files).write.parquet(path)
+    stream = spark.readStream.schema(topics.schema).option("maxFilesPerTrigger", min(-(-files // 2), BATCH)).parquet(path)
     live.ingest_messages(stream, "procstat", out, shared.new_folder(spark, "progress")).awaitTermination()
     rows = spark.read.option("basePath", out).parquet(out)
     return rows.groupBy(F.col("date").cast("string").alias("date"), "hour", "host").agg(F.count("*").alias("n"), F.sum("utime").alias("utime"))

@@ -100,10 +100,13 @@ def ingest_messages(topics: DataFrame, kind: str, path: str, checkpoint: str):
     return ingest(messages.procstat(topics) if kind == "procstat" else messages.texts(topics, kind), path, checkpoint)
 
 
-def ingest(stream: DataFrame, path: str, checkpoint: str):
-    """Write a stream of records to Parquet by date and hour of their time; returns the query, which ends when the input does."""
+def ingest(stream: DataFrame, path: str, checkpoint: str, spread: int = 2):
+    """Write a stream of records to Parquet by date and hour of their time; returns the query, which ends when the input does.
+    The records of a batch are dealt to tasks by their hour, each hour to at most ``spread`` of them, so a batch writes few files
+    of an hour, and a task sorts its share of one batch."""
     at = F.timestamp_seconds("recTime")
     rows = stream.withColumns({"date": F.date_format(at, "yyyyMMdd"), "hour": F.hour(at)})
+    rows = rows.repartition("date", "hour", F.pmod(F.xxhash64(*stream.columns), F.lit(spread)))
     return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date", "hour").trigger(availableNow=True).start()
 
 

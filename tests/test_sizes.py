@@ -1,5 +1,6 @@
 """Queries on tables that are odd or larger in some way, against their SQL."""
 
+import os
 import random
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from procweave.operators import jobs, report, workload
-from procweave.plans import catalog
+from procweave.plans import catalog, streams
 from procweave.sources import messages
 
 from .test_oracle import DATA, TABLES, plain
@@ -115,3 +116,17 @@ def test_daily_report_of_one_process(spark):
     row = spark.createDataFrame([("h", None, "p", "e", "s", "c", 1, 2, 3, 9)], "host string, user string, project string, executable string, script string, command string, utime long, stime long, startTime long, recTime long")
     got = report.daily(row).collect()
     assert sorted(r["type"] for r in got) == sorted("*".join(g) for g in report.GROUPINGS) and {(r["cpu_time"], r["walltime"], r["nobs"]) for r in got} == {(0.03, 6, 1)}
+
+
+def test_batches_of_messages_do_not_grow(same_rows, spark, monkeypatch):
+    """1,000 records in files of 50, two files a batch: at least ten batches, each of a bounded number of files for an hour."""
+    folders, ingest = [], streams.live.ingest
+    monkeypatch.setattr(streams, "RECORDS", 50)
+    monkeypatch.setattr(streams, "BATCH", 2)
+    monkeypatch.setattr(streams.live, "ingest", lambda stream, path, checkpoint: folders.append([f.removeprefix("file:") for f in (path, checkpoint)]) or ingest(stream, path, checkpoint, spread=1))
+    same_rows("str1_messages_to_hours", events="SELECT * REPLACE (TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (event_id * 7) SECOND AS ts) FROM {}")
+    (path, checkpoint), = folders
+    batches = len([f for f in os.listdir(f"{checkpoint}/commits") if f.isdigit()])
+    assert batches >= 10
+    written = [f"{at}/{f}" for at, _, files in os.walk(path) for f in files if f.endswith(".parquet")]
+    assert len(written) <= 2 * batches  # the records are of two hours, whatever the tasks of a batch
