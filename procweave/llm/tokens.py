@@ -95,7 +95,11 @@ class Encoder:
         so are marks and a line end (which the word vocabulary drops). Returns the other pieces."""
         others, between = [], self._text("\u010a") if self.leading else b""
         for piece in pieces:
-            lines = piece.split("\n") if "\n" in piece else [piece]
+            whole = _WORD_AND_MARKS(piece)
+            if whole and not (self._lowers and piece != piece.lower()):
+                known[piece] = self._word(whole, prefix, known)
+                continue
+            lines = piece.split("\n")
             parts = [_WORD_AND_MARKS(x) for x in lines]
             if None in parts or self._lowers and piece != piece.lower():
                 others.append(piece)
@@ -148,15 +152,22 @@ class Encoder:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as packed integers of ``dtype``; null counts as empty."""
         split = [self._split(t) if t else [] for t in texts]
-        heads = {p[0] for p in split if p}
-        seen = set().union(*[p[1:] for p in split])
         sizes = len(self._first), len(self._rest)
-        self._ask(list(heads.difference(self._first)), "", self._first)
-        self._ask(list(seen.difference(self._rest)), " " if self.leading else "", self._rest)
-        first, rest, out = self._first, self._rest.__getitem__, []
-        for p in split:
-            pieces = iter(p)
-            out.append(first[next(pieces)] + b"".join(map(rest, pieces)) if p else b"")
+        # each piece is looked up once; only those that are not remembered are gone through again
+        found = [list(map(self._rest.get, p)) for p in split]
+        for p, ids in zip(split, found, strict=True):
+            if p:
+                ids[0] = self._first.get(p[0])
+        gaps = [[i for i, x in enumerate(ids) if x is None] for ids in found]
+        heads = {p[0] for p, gap in zip(split, gaps, strict=True) if gap and gap[0] == 0}
+        seen = {p[i] for p, gap in zip(split, gaps, strict=True) for i in gap if i}
+        self._ask([p for p in heads if p not in self._first], "", self._first)
+        self._ask([p for p in seen if p not in self._rest], " " if self.leading else "", self._rest)
+        out = []
+        for p, ids, gap in zip(split, found, gaps, strict=True):
+            for i in gap:
+                ids[i] = self._rest[p[i]] if i else self._first[p[0]]
+            out.append(b"".join(ids))
         for known, size in zip((self._first, self._rest), sizes, strict=True):
             # dictionaries keep their order: what this batch added is at the end
             while len(known) > max(size, REMEMBERED):

@@ -190,3 +190,27 @@ def test_prefix_table_query(spark, library):
         ids = library.encode(r.text or "")
         want.add((r.doc_id, len(ids), hexed(",".join(map(str, ids))), hexed(library.decode(ids))))
     assert got == want
+
+
+def test_known_pieces_are_looked_up_once():
+    """A text whose pieces are remembered costs one look at each piece."""
+    import public_tokenizers
+
+    from procweave.llm import tokens
+
+    class Counted(dict):
+        looks = 0
+
+        def get(self, key, default=None):
+            self.looks += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.looks += 1
+            return super().__getitem__(key)
+
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    texts = ["one two, three\nfour  five six", None, "", "six one one"]
+    want = e.encode(texts)
+    e._rest = Counted(e._rest)
+    assert e.encode(texts) == want and e._rest.looks <= sum(len(e._split(t)) for t in texts if t)
