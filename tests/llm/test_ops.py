@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -430,6 +431,35 @@ def test_ids_with_several_vectors(spark):
     assert got == [(5, 1, 5, True), (7, 2, 5, False), (7, 2, 5, False), (8, 1, 5, False), (9, 0, 9, True)]
 
 
+def test_ids_whose_classes_have_one_least_id(spark):
+    """Both classes of id 7 have it as their least id; the links of each count once."""
+    rows = spark.createDataFrame([(7, [1.0, 0.0]), (7, [0.0, 1.0]), (9, [1.0, 0.1]), (10, [1.0, 0.2])], "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in multi_index.links(rows).collect())
+    assert got == [(7, 2, 7), (7, 2, 7), (9, 2, 7), (10, 2, 7)]
+
+
+def test_vectors_are_not_copied_for_each_visit(spark, monkeypatch):
+    """Most cells are visited; what is shuffled stays a few times the vectors, and links are those of all pairs."""
+    x = np.random.default_rng(4).standard_normal((4000, 8)).astype(np.float32)
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    sent = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before = sent()
+    monkeypatch.setattr(multi_index, "LEAST", 300, raising=False)
+    got = {r.vec_id: r.n_links for r in multi_index.links(rows, members_per_cell=20).collect()}
+    time.sleep(1)  # figures of the last stage
+    assert sent() - before < 20 * x.nbytes
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    assert [got[i] for i in range(len(x))] == ((u @ u.T >= 0.9).sum(axis=1) - 1).tolist()
+
+
+@pytest.mark.parametrize("most", [1, 3, 17, 35, 99])
+def test_reach_is_the_last_cell_of_the_order(most):
+    r = np.random.default_rng(9)
+    a, b = r.random((40, 7)), r.random((40, 5))
+    want = [[p[c // 5] + q[c % 5] for c in multi_index.multi_sequence(p, q, most)][-1] for p, q in zip(a, b, strict=True)]
+    assert multi_index.reach(a, b, most).tolist() == want
+
+
 def test_cells_in_order_of_distance():
     r = np.random.default_rng(8)
     a, b = r.random(7), r.random(5)
