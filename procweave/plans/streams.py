@@ -22,6 +22,8 @@ LATE = f"{BLUR * 12} seconds"
 _FAR = 10 * 365 * 86_400
 #: Records in a file of messages, about, and files of such a batch, at most: what a batch holds does not grow with the table.
 RECORDS, BATCH = 125_000, 16
+#: Rows in a file of a feed's slice, at most, about.
+ROWS = 500_000
 
 
 def feed(spark: SparkSession, rows: DataFrame, name: str, close_after: int | None = _FAR) -> DataFrame:
@@ -30,16 +32,17 @@ def feed(spark: SparkSession, rows: DataFrame, name: str, close_after: int | Non
     path, all_rows = shared.new_folder(spark, name), shared.new_folder(spark, f"{name}-rows")
     rows.write.parquet(all_rows)  # made once, since they are read for the ends, each slice and the last row
     rows = spark.read.schema(rows.schema).parquet(all_rows)
-    ends = rows.agg(F.min("recTime").alias("first"), F.max("recTime").alias("last")).first()
+    ends = rows.agg(F.min("recTime").alias("first"), F.max("recTime").alias("last"), F.count("*").alias("n")).first()
+    files = max(FILES, -(-ends["n"] // (SLICES * ROWS)))
     first, width = ends["first"] or 0, max(((ends["last"] or 0) - (ends["first"] or 0)) // SLICES + 1, 1)
     blurred = F.col("recTime") - first + F.pmod(F.xxhash64(*rows.columns), F.lit(BLUR))
     table = rows.withColumn("__slice", F.least(F.floor(blurred / width), F.lit(SLICES - 1)))
     for i in range(SLICES):
-        table.where(F.col("__slice") == i).drop("__slice").repartition(FILES).write.mode("append").parquet(path)
+        table.where(F.col("__slice") == i).drop("__slice").repartition(files).write.mode("append").parquet(path)
     if close_after is not None:
         newest = rows.orderBy(F.desc("recTime")).limit(1)
         newest.withColumns({"host": F.lit(""), "recTime": F.col("recTime") + close_after}).select(*rows.columns).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES).parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def finished(stream: DataFrame, name: str) -> DataFrame:

@@ -20,12 +20,14 @@ SILENCE, FRESH, HOUR = 3600, 300, 3600
 
 
 def collapse(rows: DataFrame, key: Sequence[str], compare: Sequence[str], *, within: Sequence[str] = (), reset: int | None = HOUR, silence: int = SILENCE, late: str = "1 hour") -> DataFrame:
-    """The last row of each run of equal rows, by key and, in it, by ``within``: sent when the next row differs, and at the
-    latest when ``reset`` seconds (an hour) are over, at which all keys start anew. Without ``reset`` it is sent when the
+    """The last row of each run of equal rows, by key and, in it, by ``within``: sent when ``reset`` seconds (an hour) are over, at
+    which all keys start anew. Without ``reset`` it is sent when the next row differs, and at the latest when the
     key has been silent. On finished input these are the rows of ``clean.collapse`` by key, ``within`` and hour."""
-    schema = ordered.ddl(rows)
-    made = ordered.Collapse(schema, rows.columns, key, within, compare, reset, silence)
-    return ordered.run(rows, key, made, schema, late)
+    if reset:
+        own = (*key, *within)
+        return ordered.by_span(rows, own, ordered.last_of_runs(own, compare), reset, late)
+    made = ordered.Collapse(ordered.ddl(rows), rows.columns, key, within, compare, silence)
+    return ordered.run(rows, key, made, ordered.ddl(rows), late)
 
 
 def collapse_descriptors(procfd: DataFrame, most: int = 10, **options) -> DataFrame:

@@ -6,13 +6,16 @@ row, so a group's calls are shared by its keys.
 
 So a stream gives the rows that a sorted table would give: rows that are at most ``late`` behind the newest record count,
 older ones are left out. Time is that of the records; a stream over finished input ends, and gives the same rows again.
+
+Where nothing is remembered beyond a span of time (``by_span``), rows need no state in Python: Spark's own aggregates keep them until
+the span is over, and SQL functions do the rest.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -127,32 +130,51 @@ class Ordered(Grouped):
             self.look(self.wake, again=True)
 
 
+def in_groups(rows: DataFrame, key: Sequence[str], late: str) -> DataFrame:
+    """Rows that have a ``recTime`` (seconds), with their time, of which the watermark is made, and the group of their key."""
+    timed = rows.where(F.col("recTime").isNotNull()).withColumn("__at", F.timestamp_seconds("recTime")).withWatermark("__at", late)
+    return timed.withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(GROUPS)))
+
+
 def run(rows: DataFrame, key: Sequence[str], processor: StatefulProcessor, schema: str, late: str, mode: str = "append") -> DataFrame:
     """The processor over a stream of rows with ``recTime`` (seconds); rows without one are left out."""
     use_state_store(rows.sparkSession)
-    timed = rows.where(F.col("recTime").isNotNull()).withColumn("__at", F.timestamp_seconds("recTime")).withWatermark("__at", late)
-    return timed.withColumn("__group", F.pmod(F.xxhash64(*key), F.lit(GROUPS))).groupBy("__group").transformWithState(processor, schema, mode, "EventTime")
+    return in_groups(rows, key, late).groupBy("__group").transformWithState(processor, schema, mode, "EventTime")
+
+
+def by_span(rows: DataFrame, key: Sequence[str], work: Callable[[Column], Column], seconds: int, late: str) -> DataFrame:
+    """The rows that ``work`` leaves of each group's array of rows of a span of ``seconds``, in order of key and time. A span is
+    worked on when the watermark has passed its end; until then rows count that are later than ``late``, too."""
+    use_state_store(rows.sparkSession)
+    first = [*key, *(c for c in ("recTime", "recTimeUSec", "event_id") if c in rows.columns and c not in key)]
+    own = F.struct(*first, *[c for c in rows.columns if c not in first])
+    spans = in_groups(rows, key, late).groupBy(F.window("__at", f"{seconds} seconds"), "__group").agg(F.sort_array(F.collect_list(own)).alias("rows"))
+    return spans.select(F.inline(work(F.col("rows")))).select(*rows.columns)
+
+
+def last_of_runs(key: Sequence[str], compare: Sequence[str]) -> Callable[[Column], Column]:
+    """Of rows in order of key and time, the last of each run of equal ``compare`` columns of a key."""
+
+    def work(rows: Column) -> Column:
+        own = lambda row: F.struct(*[row[c] for c in (*key, *compare)])
+        later = lambda i: F.get(rows, i + 1)
+        return F.filter(rows, lambda row, i: later(i).isNull() | ~own(row).eqNullSafe(own(later(i))))
+
+    return work
 
 
 class Collapse(Ordered):
     """The last row of each run of equal ``compare`` columns, for each ``within`` of the key (descriptors of a process). Runs
-    end at multiples of ``reset`` seconds, when all that is remembered is sent and forgotten; without ``reset``, when a
-    key has been silent for ``silence`` seconds."""
+    end when a key has been silent for ``silence`` seconds."""
 
-    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], within: Sequence[str], compare: Sequence[str], reset: int | None, silence: int):
+    def __init__(self, schema: str, columns: Sequence[str], key: Sequence[str], within: Sequence[str], compare: Sequence[str], silence: int):
         super().__init__(schema, columns, key, within)
         self.compare = [self.columns.index(c) for c in compare]
-        self.reset, self.silence = reset, silence
+        self.silence = silence
         self.row = Row(*self.columns)
 
-    def _until(self, row: tuple) -> int:
-        """When a remembered row is to be sent at the latest, in ms."""
-        at = row[self.at]
-        return 1000 * ((at // self.reset + 1) * self.reset if self.reset else at + self.silence)
-
     def _ends(self, old: tuple, new: tuple) -> bool:
-        apart = old[self.at] // self.reset != new[self.at] // self.reset if self.reset else new[self.at] - old[self.at] > self.silence
-        return apart or any(old[i] != new[i] for i in self.compare)
+        return new[self.at] - old[self.at] > self.silence or any(old[i] != new[i] for i in self.compare)
 
     def work(self, last, rows, now):
         for new in rows:
@@ -162,7 +184,7 @@ class Collapse(Ordered):
                 yield self.row(*old)
             last[slot] = new
         for slot, row in list(last.items()):
-            until = self._until(row)
+            until = 1000 * (row[self.at] + self.silence)
             if until <= now:
                 yield self.row(*last.pop(slot))
             else:

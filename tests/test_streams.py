@@ -173,3 +173,22 @@ def test_keys_that_share_a_group_keep_apart(feed, spark, monkeypatch, groups):
     gap = F.col("recTime") - before("recTime")
     want = table.select("host", "pid", "recTime", ((F.col("v") - before("v")) / gap).alias("v_rate"), gap.alias("gap")).where("gap <= 1000").drop("gap")
     assert sorted(map(str, rates.collect())) == sorted(map(str, want.collect()))
+
+
+def test_late_rows_of_an_open_hour_count(feed, spark):
+    """A row that is later than ``late`` is still one of its hour, which is not over; nulls, and values that are no number, are equal to their like."""
+    nan = float("nan")
+    schema = SAMPLE.replace("v long", "v double")
+    f = feed(schema).add([("h", 1, 3000, 1, 7.0), (None, 2, 100, 2, nan)], [("h", 1, 1000, 3, 8.0), ("h", 1, 500, 4, 7.0), (None, 2, 200, 5, nan)], [("h", 9, 90_000, 6, 0.0)])
+    got = f.run(live.collapse(f.stream(), ["host", "pid"], ["v"], late="1 second"))
+    assert sorted(r.event_id for r in got.collect()) == [1, 3, 4, 5]
+
+
+def test_slices_of_many_rows_are_many_files(spark, monkeypatch):
+    """A slice is dealt to files of bounded size and is still one batch."""
+    monkeypatch.setattr(streams, "ROWS", 100, raising=False)
+    rows = spark.range(4000).selectExpr("'h' AS host", "id AS pid", "id * 1300 AS recTime")
+    seen = []
+    stream = streams.feed(spark, rows, "wide")
+    stream.writeStream.foreachBatch(lambda df, i: seen.append((df.select(F.input_file_name()).distinct().count(), df.where("host != ''").count()))).option("checkpointLocation", streams.shared.new_folder(spark, "p")).trigger(availableNow=True).start().awaitTermination()
+    assert sum(n for _, n in seen) == 4000 and len(seen) <= streams.SLICES + 1 and all(files >= 10 for files, n in seen if n > 300)
